@@ -40,18 +40,16 @@ TOPICS = AliasDictionary(
 )
 
 
-def aliases_cte(dictionary: AliasDictionary, name: str) -> str:
-    """``name(name, alias)`` as a VALUES table for the SQL side."""
-    rows = ", ".join(f"('{a.name}', '{a.alias}')" for a in dictionary.aliases)
-    return f"{name}(name, alias) AS (VALUES {rows})"
-
-
-def hits_cte(name: str, texts: str, aliases: str) -> str:
-    """First hit of each alias in ``texts(id, body)`` as (id, name, start, width)."""
-    pattern = (
-        "'(?is)^(|.*?[^\\p{L}\\p{N}_])(' || alias || ')(?:$|[^\\p{L}\\p{N}_])'"
-    )
-    return (
-        f"{name} AS (SELECT id, name, length(regexp_extract(body, {pattern}, 1)) + 1 AS start, "
-        f"length(alias) AS width FROM {texts}, {aliases} WHERE regexp_matches(body, {pattern}))"
-    )
+def hits_cte(name: str, texts: str, dictionary: AliasDictionary) -> str:
+    """First hit of each alias in ``texts(id, body)`` as (id, name, start, width).
+
+    One branch per alias, so that its pattern is a constant.
+    """
+    branches = []
+    for a in dictionary.aliases:
+        pattern = f"(?is)^(|.*?[^\\p{{L}}\\p{{N}}_])({a.alias})(?:$|[^\\p{{L}}\\p{{N}}_])"
+        branches.append(
+            f"SELECT id, '{a.name}' AS name, length(regexp_extract(body, '{pattern}', 1)) + 1 AS start, "
+            f"{len(a.alias)} AS width FROM {texts} WHERE regexp_matches(body, '{pattern}')"
+        )
+    return f"{name} AS (" + " UNION ALL ".join(branches) + ")"

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobweft.catalog.inputs import TERMS, TOPICS, aliases_cte, hits_cte, table
+from jobweft.catalog.inputs import TERMS, TOPICS, hits_cte, table
 from jobweft.operators.dictionary import find_first_of, key_tokens
 
 _TEXTS = "texts AS (SELECT doc_id AS id, text AS body FROM documents)"
-_HITS = f"{aliases_cte(TERMS, 'aliases')}, {_TEXTS}, {hits_cte('hits', 'texts', 'aliases')}"
+_HITS = f"{_TEXTS}, {hits_cte('hits', 'texts', TERMS)}"
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,10 +74,10 @@ def title_first_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 TITLE_FIRST_FALLBACK = f"""
-WITH {aliases_cte(TOPICS, "aliases")}, {_TEXTS},
+WITH {_TEXTS},
 titles AS (SELECT doc_id AS id, string_split(text, chr(10))[1] AS body FROM documents),
-{hits_cte("in_title", "titles", "aliases")},
-{hits_cte("in_text", "texts", "aliases")},
+{hits_cte("in_title", "titles", TOPICS)},
+{hits_cte("in_text", "texts", TOPICS)},
 t AS (SELECT id, name, row_number() OVER (PARTITION BY id ORDER BY start, width DESC, name) AS n FROM in_title),
 b AS (SELECT id, name, row_number() OVER (PARTITION BY id ORDER BY start, width DESC, name) AS n FROM in_text)
 SELECT doc_id, COALESCE(t.name, b.name) AS role FROM documents
@@ -94,10 +94,10 @@ def dict_names_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 DICT_NAMES_MISSING = f"""
-WITH {aliases_cte(TOPICS, "aliases")}, {_TEXTS},
+WITH {_TEXTS},
 titles AS (SELECT doc_id AS id, string_split(text, chr(10))[1] AS body FROM documents),
-{hits_cte("in_title", "titles", "aliases")},
-{hits_cte("in_text", "texts", "aliases")},
+{hits_cte("in_title", "titles", TOPICS)},
+{hits_cte("in_text", "texts", TOPICS)},
 t AS (SELECT id, string_agg(name, '|' ORDER BY start, name) AS names
       FROM (SELECT id, name, MIN(start) AS start FROM in_title GROUP BY id, name) GROUP BY id),
 b AS (SELECT id, string_agg(name, '|' ORDER BY start, name) AS names

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobweft.catalog.inputs import TERMS, aliases_cte, hits_cte, table
+from jobweft.catalog.inputs import TERMS, hits_cte, table
 from jobweft.functions.text import slug
 from jobweft.operators.dictionary import key_tokens
 from jobweft.plans.quality import canonical_issues, count_mismatches, run_counts
@@ -32,9 +32,8 @@ def report_top_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REPORT_TOP_TERMS = f"""
-WITH {aliases_cte(TERMS, "aliases")},
-texts AS (SELECT doc_id AS id, text AS body FROM documents),
-{hits_cte("hits", "texts", "aliases")}
+WITH texts AS (SELECT doc_id AS id, text AS body FROM documents),
+{hits_cte("hits", "texts", TERMS)}
 SELECT name AS term, COUNT(DISTINCT id) AS active_postings
 FROM hits GROUP BY name ORDER BY active_postings DESC, term
 """
