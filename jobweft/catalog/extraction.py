@@ -163,7 +163,7 @@ WITH parts AS (
 ), texts AS (
   SELECT page_id, array_to_string(list_transform(p, lambda t: CASE
     WHEN regexp_matches(t, '(?i)^<(script|style)') THEN
-      regexp_replace(regexp_replace(t, '(?is)^<[^>]*>|</(script|style)\\s*>$', '', 'g'), '(</[^>]*>)', ' \\1 ', 'g')
+      regexp_replace(t, '(?is)^<[^>]*>|</(script|style)\\s*>$', '', 'g')
     WHEN t LIKE '<_%' THEN NULL
     ELSE replace(replace(replace(replace(t, '&quot;', '"'), '&copy;', '©'), '&middot;', '·'), '&amp;', '&') END), ' ') AS t
   FROM parts
