@@ -43,7 +43,6 @@ def read_run_files(spark: SparkSession, root: str, adapter_id: str) -> DataFrame
 
 def parse_run_metadata(df: DataFrame, text: Column) -> DataFrame:
     """Add the run fields read from metadata JSON; ``run_error`` tells what is wrong."""
-    at, count = member["retrieved_at"], member["record_count"]
     docs = df.withColumn("_doc", text)
     read = jv.with_members(
         docs, "_doc", "run_id", "source_id", "retrieved_at", "record_count", "payload_sha256",

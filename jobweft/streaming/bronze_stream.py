@@ -42,8 +42,9 @@ def stream_loads(
 
     def load(batch: DataFrame, _: int) -> None:
         session = batch.sparkSession
-        runs = with_payloads(session, batch, bronze_root, adapter_id)
-        load_runs(session, runs, SilverTables(session, silver_root), rules)
+        runs = with_payloads(session, batch, adapter_id)
+        if runs is not None:
+            load_runs(session, runs, SilverTables(session, silver_root), rules)
 
     return (
         arrivals.writeStream.option("checkpointLocation", checkpoint)
@@ -53,14 +54,19 @@ def stream_loads(
     )
 
 
-def with_payloads(
-    spark: SparkSession, arrivals: DataFrame, bronze_root: str, adapter_id: str
-) -> DataFrame:
-    """Runs frame for (run_dir, metadata_text), with the response beside each."""
+def with_payloads(spark: SparkSession, arrivals: DataFrame, adapter_id: str) -> DataFrame | None:
+    """Runs frame for (run_dir, metadata_text), with the response beside each.
+
+    Only the folders of this micro-batch are read; their number is bounded by
+    ``maxFilesPerTrigger``. A folder without a response gives no run.
+    """
+    folders = [row.run_dir for row in arrivals.select("run_dir").distinct().collect()]
+    if not folders:
+        return None
     responses = (
         spark.read.option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "response.json")
-        .text(bronze_root, wholetext=True)
+        .text(folders, wholetext=True)
         .select(
             F.regexp_replace(F.col("_metadata.file_path"), "/[^/]+$", "").alias("run_dir"),
             F.col("value").alias("payload"),
