@@ -77,51 +77,52 @@ def with_members(df: DataFrame, raw: str, *names: str, prefix: str = "") -> Data
     ``raw`` is a column of JSON text; when it is NULL or no object, every member
     is absent. Call it again on the text of a member to go one level down.
     """
-    kept = [F.col(c) for c in df.columns]
+    kept = [f"`{c}`" for c in df.columns]
     shape = {kind: ", ".join(f"`{n}`: {kind}" for n in names) for kind in ("variant", "string")}
-    df = df.select(
+    df = df.selectExpr(
         *kept,
-        F.from_json(raw, f"struct<{shape['variant']}>").alias("_typed"),
-        F.from_json(raw, f"struct<{shape['string']}>").alias("_texts"),
+        f"from_json(`{raw}`, 'struct<{shape['variant']}>') AS _typed",
+        f"from_json(`{raw}`, 'struct<{shape['string']}>') AS _texts",
     )
-    df = df.select(
+    df = df.selectExpr(
         *kept,
-        *[F.schema_of_variant(f"_typed.`{n}`").alias(f"{prefix}{n}__kind") for n in names],
-        *[F.col(f"_texts.`{n}`").alias(f"{prefix}{n}__plain") for n in names],
+        *[f"schema_of_variant(_typed.`{n}`) AS `{prefix}{n}__kind`" for n in names],
+        *[f"_texts.`{n}` AS `{prefix}{n}__plain`" for n in names],
     )
 
-    def texts(n: str) -> list[Column]:
-        kind, plain = F.col(f"{n}__kind"), F.col(f"{n}__plain")
-        nested = kind.startswith("OBJECT") | kind.startswith("ARRAY")
-        shown = F.when(kind == "BOOLEAN", F.initcap(plain)).otherwise(plain)
+    def texts(n: str) -> list[str]:
+        kind, plain = f"`{n}__kind`", f"`{n}__plain`"
+        shown = f"if({kind} = 'BOOLEAN', initcap({plain}), {plain})"
+        nested = f"(startswith({kind}, 'OBJECT') OR startswith({kind}, 'ARRAY'))"
+        falsy = ", ".join(f"'{text}'" for text in _FALSY)
         return [
             kind,
-            F.coalesce(F.when(nested, leaf_text(plain)), shown, F.lit("")).alias(f"{n}__text"),
-            shown.alias(f"{n}__shown"),
-            F.coalesce(
-                F.when(kind == "STRING", plain != "").otherwise(~plain.isin(_FALSY)), F.lit(False)
-            ).alias(f"{n}__on"),
+            f"coalesce(if({nested}, {_leaf_text_sql(plain)}, {shown}), '') AS `{n}__text`",
+            f"{shown} AS `{n}__shown`",
+            f"coalesce(if({kind} = 'STRING', {plain} <> '', {plain} NOT IN ({falsy})), false) AS `{n}__on`",
         ]
 
-    return df.select(*kept, *[c for n in names for c in texts(prefix + n)])
+    return df.selectExpr(*kept, *[c for n in names for c in texts(prefix + n)])
 
 
-def leaf_text(raw: Column) -> Column:
+def leaf_text(raw: str) -> Column:
     """All leaf values of JSON text in source order, joined by a space.
 
     Every token is taken by one expression, keys are dropped and one more parse
     decodes the escapes, so any depth is handled without recursion.
     """
-    tokens = F.regexp_extract_all(raw, F.lit(_TOKEN), F.lit(0))
-    leaves = F.filter(tokens, lambda t: ~t.rlike('^"[\\s\\S]*":$'))
+    return F.expr(_leaf_text_sql(f"`{raw}`"))
+
+
+def _leaf_text_sql(raw: str) -> str:
     # Bare words become the text Python prints for them.
-    quoted = F.transform(
-        leaves,
-        lambda t: F.when(t == "true", '"True"').when(t == "false", '"False"')
-        .when(t == "null", '""').otherwise(t),
+    return (
+        "array_join(from_json(concat('[', array_join(transform(filter("
+        f"regexp_extract_all({raw}, r'{_TOKEN}', 0), "
+        "t -> NOT (startswith(t, '\"') AND endswith(t, ':'))), "
+        "t -> CASE t WHEN 'true' THEN '\"True\"' WHEN 'false' THEN '\"False\"' "
+        "WHEN 'null' THEN '\"\"' ELSE t END), ','), ']'), 'array<string>'), ' ')"
     )
-    values = F.from_json(F.concat(F.lit("["), F.array_join(quoted, ","), F.lit("]")), "array<string>")
-    return F.array_join(values, " ")
 
 
 def metadata_text(entries: Column, field: str) -> Column:

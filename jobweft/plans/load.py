@@ -20,7 +20,7 @@ from jobweft.operators.ledger import (
     runs_to_process,
 )
 from jobweft.operators.upsert import deactivate_missing, posting_key, snapshot_cutoffs, upsert
-from jobweft.plans.seeds import missing_seeds, seed_frames
+from jobweft.plans.seeds import missing_seeds, seed_frame
 from jobweft.schemas import ERRORS, LEDGER, POSTINGS, RECORD
 from jobweft.session import cut_lineage
 from jobweft.settings import Board, HourLimits, boards_frame, load_boards, load_hour_limits
@@ -42,14 +42,14 @@ class Rules:
     adapters: dict[str, Adapter] = field(default_factory=lambda: dict(ADAPTERS))
 
 
-def parse_runs(runs: DataFrame, rules: Rules, dimensions: dict[str, DataFrame]) -> tuple[DataFrame, ...]:
+def parse_runs(runs: DataFrame, rules: Rules, dimensions: DataFrame) -> tuple[DataFrame, ...]:
     """(accepted records, error rows, runs with run_error) of attributed runs."""
     jobs, checked_runs = read_jobs(runs, rules.adapters)
     records = enrich_jobs(jobs, rules.dictionaries, rules.limits)
     checked = check_records(
         records,
-        dimensions["sources"],
-        dimensions["companies"],
+        dimensions.where(F.col("dimension") == "sources"),
+        dimensions.where(F.col("dimension") == "companies"),
         unseeded_names(rules.dictionaries, dimensions),
         rules.limits,
     )
@@ -59,28 +59,37 @@ def parse_runs(runs: DataFrame, rules: Rules, dimensions: dict[str, DataFrame])
 
 
 def unseeded_names(
-    dictionaries: dict[str, AliasDictionary], dimensions: dict[str, DataFrame]
+    dictionaries: dict[str, AliasDictionary], dimensions: DataFrame
 ) -> dict[str, list[str]]:
-    """Dictionary names without a dimension row; never more than the dictionary has."""
-    missing = {}
-    for table in ("roles", "seniority_levels", "skills", "work_modes", "locations",
-                  "employment_relations", "workloads"):
-        names = dictionaries[table].names
-        known = dimensions[table].where(F.col("name").isin(names)).select("name").distinct()
-        seeded = {row.name for row in known.limit(len(names) + 1).collect()}
-        missing[table] = sorted(set(names) - seeded)
-    return missing
-
-
-def seed_dimensions(spark: SparkSession, tables: SilverTables, rules: Rules) -> dict[str, DataFrame]:
-    """Dimensions with the seeds they were missing."""
-    seeded = {}
-    for name, seed in seed_frames(spark, rules.dictionaries, rules.boards).items():
-        key = "source_key" if name == "sources" else "name"
-        columns = ", ".join(f"{c} {t}" for c, t in seed.dtypes)
-        stored = tables.dimension(name, columns)
-        seeded[name] = stored.unionByName(missing_seeds(seed, stored, key))
-    return seeded
+    """Dictionary names without a dimension row.
+
+    Only names of the dictionaries are collected, so the result is no larger.
+    """
+    tables = ("roles", "seniority_levels", "skills", "work_modes", "locations",
+              "employment_relations", "workloads")
+    wanted = F.lit(False)
+    for table in tables:
+        wanted = wanted | (
+            (F.col("dimension") == table) & F.col("name").isin(dictionaries[table].names)
+        )
+    seeded = {(r.dimension, r.name) for r in dimensions.where(wanted).distinct().collect()}
+    return {
+        table: sorted({n for n in dictionaries[table].names if (table, n) not in seeded})
+        for table in tables
+    }
+
+
+def seed_dimensions(spark: SparkSession, tables: SilverTables, rules: Rules) -> DataFrame:
+    """Append the seeds that are missing and return all dimensions."""
+    seed = seed_frame(spark, rules.dictionaries, rules.boards)
+    stored = tables.dimensions()
+    sources = F.col("dimension") == "sources"
+    missing = missing_seeds(seed.where(~sources), stored, "dimension", "name").unionByName(
+        missing_seeds(seed.where(sources), stored.where(sources), "source_key")
+    )
+    if not missing.isEmpty():
+        tables.append("dimensions", missing)
+    return tables.dimensions()
 
 
 def load_runs(
@@ -128,16 +137,13 @@ def load_runs(
     version = tables.next_version()
     tables.write_postings(linked.select(*POSTINGS), version)
     tables.write_whole("ledger", ledger_after, version)
-    for name, frame in dimensions.items():
-        tables.write_whole(f"dim_{name}", cut_lineage(frame), version)
-    tables.append_errors(
-        link_errors(bad, ledger_after).withColumn("created_at", F.current_timestamp()).select(*ERRORS)
+    tables.append(
+        "errors",
+        link_errors(bad, ledger_after).withColumn("created_at", F.current_timestamp()).select(*ERRORS),
     )
     parts = touched.select(F.lit("postings").alias("table_name"), F.col("source_key").alias("part"))
-    for name in ("ledger", *[f"dim_{d}" for d in dimensions]):
-        parts = parts.unionByName(whole(name, spark))
     summary = cut_lineage(load_summary(discovered, outcomes))
-    tables.commit(parts, version)
+    tables.commit(parts.unionByName(whole("ledger", spark)), version)
     return summary
 
 

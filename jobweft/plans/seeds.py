@@ -10,25 +10,21 @@ from jobweft.settings import Board
 #: Dimensions whose names have a fixed order.
 _RANKED = ("seniority_levels", "proficiency_levels", "requirement_types")
 
+#: All dimensions share one table; only sources have a key besides their name.
+DIMENSIONS = "dimension string, name string, source_key string, sort_order smallint"
 
-def seed_frames(
+
+def seed_frame(
     spark: SparkSession, dictionaries: dict[str, AliasDictionary], boards: list[Board]
-) -> dict[str, DataFrame]:
-    """One frame per dimension; ranked ones get sort_order 10, 20, 30, ..."""
-    frames = {
-        "sources": spark.createDataFrame(
-            [(b.company, b.source_key) for b in boards], "name string, source_key string"
-        )
-    }
+) -> DataFrame:
+    """Seed rows of every dimension; ranked ones get sort_order 10, 20, 30, ..."""
+    rows = [("sources", b.company, b.source_key, None) for b in boards]
     for table, dictionary in dictionaries.items():
-        if table in _RANKED:
-            rows = [(name, 10 * (i + 1)) for i, name in enumerate(dictionary.names)]
-            frames[table] = spark.createDataFrame(rows, "name string, sort_order smallint")
-        else:
-            frames[table] = spark.createDataFrame([(n,) for n in dictionary.names], "name string")
-    return frames
+        for i, name in enumerate(dictionary.names):
+            rows.append((table, name, None, 10 * (i + 1) if table in _RANKED else None))
+    return spark.createDataFrame(rows, DIMENSIONS).coalesce(1)
 
 
-def missing_seeds(seed: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
+def missing_seeds(seed: DataFrame, dimension: DataFrame, *key: str) -> DataFrame:
     """Seed rows the dimension does not have yet, to be appended."""
-    return seed.join(dimension.select(key), key, "left_anti").select(seed.columns)
+    return seed.join(dimension.select(*key), list(key), "left_anti").select(seed.columns)

@@ -3,8 +3,8 @@
 Postings are rewritten board by board: a load writes a new version of the boards
 it touched and then appends one row per board to the ``commits`` table. Readers
 take the newest committed version of each board, so a load that dies half-way
-leaves nothing visible and old versions stay readable. Ledger and dimensions are
-small and keep one version for the whole table; errors are append-only.
+leaves no posting visible and old versions stay readable. The ledger keeps one
+version for the whole table; errors and dimensions are append-only.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
 
+from jobweft.plans.seeds import DIMENSIONS
 from jobweft.schemas import ERRORS, LEDGER, POSTINGS, ddl
 
 _COMMITS = "table_name string, part string, version bigint, committed_at timestamp"
@@ -43,8 +44,11 @@ class SilverTables:
     def errors(self) -> DataFrame:
         return self._read_folder("errors", ddl(ERRORS))
 
-    def dimension(self, name: str, schema: str = "name string") -> DataFrame:
-        return self._read_whole(f"dim_{name}", schema)
+    def dimensions(self) -> DataFrame:
+        return self._read_folder("dimensions", DIMENSIONS)
+
+    def dimension(self, name: str) -> DataFrame:
+        return self.dimensions().where(F.col("dimension") == name).drop("dimension")
 
     def quality_tables(self) -> dict[str, DataFrame]:
         postings = self.postings().select(
@@ -81,8 +85,8 @@ class SilverTables:
             f"{self.root}/{name}"
         )
 
-    def append_errors(self, errors: DataFrame) -> None:
-        errors.write.mode("append").parquet(f"{self.root}/errors")
+    def append(self, name: str, rows: DataFrame) -> None:
+        rows.write.mode("append").parquet(f"{self.root}/{name}")
 
     def commit(self, parts: DataFrame, version: int) -> None:
         """Make ``parts`` (table_name, part) of a version visible, all at once."""

@@ -285,7 +285,7 @@ def test_unseeded_name_is_quarantined(spark, tmp_path):
     from jobweft.plans import load as module
 
     seeded = module.seed_dimensions(spark, SilverTables(spark, str(tmp_path / "s")), rules)
-    seeded["roles"] = seeded["roles"].where("name <> 'Data Engineer'")
+    seeded = seeded.where("name <> 'Data Engineer'")
     runs = module.attribute_runs(
         read_run_files(spark, str(tmp_path / "b"), "greenhouse"), boards_frame(spark, rules.boards)
     )
