@@ -17,9 +17,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _FALSY = ["false", "0", "0.0", "-0.0", "-0", "[]", "{}"]
-# One JSON token in compact text: a string with the colon that would make it a
-# key, a number, or a bare word.
-_TOKEN = r'"(?:[^"\\]|\\.)*":?|-?\d[\d.eE+-]*|true|false|null'
+# One JSON token in compact text whose strings hold no escaped quote: a string with
+# the colon that would make it a key, a number, or a bare word. Nothing here repeats
+# a group, which the JVM would match by recursion, so any length of text is fine.
+_TOKEN = r'"[^"]*":?|-?\d[\d.eE+-]*|true|false|null|\{\}|\[\]'
 
 
 @dataclass(frozen=True)
@@ -115,13 +116,16 @@ def leaf_text(raw: str) -> Column:
 
 
 def _leaf_text_sql(raw: str) -> str:
-    # Bare words become the text Python prints for them.
+    # Escaped backslashes and quotes get their other JSON spelling; bare words become
+    # the text Python prints for them.
+    plain = f"replace(replace({raw}, r'\\\\', r'\\u005c'), r'\\\"', r'\\u0022')"
     return (
         "array_join(from_json(concat('[', array_join(transform(filter("
-        f"regexp_extract_all({raw}, r'{_TOKEN}', 0), "
+        f"regexp_extract_all({plain}, r'{_TOKEN}', 0), "
         "t -> NOT (startswith(t, '\"') AND endswith(t, ':'))), "
         "t -> CASE t WHEN 'true' THEN '\"True\"' WHEN 'false' THEN '\"False\"' "
-        "WHEN 'null' THEN '\"\"' ELSE t END), ','), ']'), 'array<string>'), ' ')"
+        "WHEN 'null' THEN '\"\"' WHEN '{}' THEN '\"\"' WHEN '[]' THEN '\"\"' ELSE t END), ','), ']'), "
+        "'array<string>'), ' ')"
     )
 
 
