@@ -5,16 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobweft.catalog.inputs import table
+from jobweft.catalog.inputs import spread, table
 from jobweft.functions.text import content_fingerprint
 from jobweft.operators.canonical import assign_canonical, fallback_candidates
+from jobweft.session import cut_lineage
 
 _FINGERPRINT = "sha256(replace(lower(trim(regexp_replace(text, '\\s+', ' ', 'g'))), 'ß', 'ss'))"
 
 
 def canonical_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Copies of a document within a language share the first one's canonical."""
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "lang", "text"))
     new = docs.select(
         F.col("doc_id").cast("string").alias("posting_key"),
         F.col("lang").alias("company"),
@@ -24,7 +25,7 @@ def canonical_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array().cast("array<string>").alias("locations"),
         F.col("doc_id").alias("ord"),
     )
-    return assign_canonical(new)
+    return assign_canonical(cut_lineage(new))
 
 
 CANONICAL_EXACT = f"""
@@ -41,7 +42,8 @@ def canonical_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
     Language is the company, source the role, the label of toxicity the seniority
     and the length class of the text its set of locations.
     """
-    docs = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id", "left")
+    docs = spread(table(spark, sf_dir, "documents"))
+    docs = docs.join(table(spark, sf_dir, "labels"), "doc_id", "left")
     places = (
         F.when(F.col("n_chars") < 400, F.array().cast("array<string>"))
         .when(F.col("n_chars") < 1500, F.array(F.lit("a")))
@@ -58,6 +60,8 @@ def canonical_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("doc_id").alias("ord"),
         F.coalesce(F.col("quality") == 1, F.lit(False)).alias("is_linked"),
     )
+    # Read twice, as new and as linked postings; the fingerprint is made once.
+    postings = cut_lineage(postings)
     linked = postings.where("is_linked").withColumn(
         "canonical_id", F.concat(F.lit("c"), F.floor(F.col("ord") / 40).cast("string"))
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobweft.catalog.inputs import TERMS, TOPICS, hits_cte, table
+from jobweft.catalog.inputs import TERMS, TOPICS, hits_cte, spread, table
 from jobweft.operators.dictionary import find_first_of, key_tokens
 
 _TEXTS = "texts AS (SELECT doc_id AS id, text AS body FROM documents)"
@@ -13,7 +13,7 @@ _HITS = f"{_TEXTS}, {hits_cte('hits', 'texts', TERMS)}"
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return docs.withColumn("_keys", key_tokens("text", [TERMS, TOPICS]))
 
 
