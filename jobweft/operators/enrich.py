@@ -11,6 +11,7 @@ from jobweft.functions.text import content_fingerprint
 from jobweft.operators.dictionary import AliasDictionary, find_first_of, key_tokens
 from jobweft.schemas import EMPLOYMENT_OPTION
 from jobweft.settings import HourLimits
+from jobweft.sources.adapters import RUN_FIELDS
 
 
 def employment_options(relation: Column, workload: Column, hours: Column) -> Column:
@@ -90,7 +91,7 @@ def enrich_jobs(
     overflow = (low.isNotNull() & F.col("_min").isNull()) | (high.isNotNull() & F.col("_max").isNull())
     text_modes = dictionaries["work_modes"].find_all("search_text", "_keys")
     records = staged.select(
-        "source_id", "run_id", "source_key", "retrieved_at", "pos",
+        "source_id", "run_id", "source_key", "retrieved_at", *RUN_FIELDS, "pos",
         "error_job_id", "id_error", "time_error", "salary_error", "_hours",
         "source_job_id",
         F.coalesce(

@@ -126,16 +126,19 @@ def advance_ledger(ledger: DataFrame, outcomes: DataFrame, parser_version: str)
 
 def load_summary(discovered: DataFrame, outcomes: DataFrame) -> DataFrame:
     """One row of counters for a load; ``exit_code`` is 1 unless all went well."""
-    done = outcomes.agg(
-        F.count_if(F.col("status") == "processed").alias("processed"),
-        F.count_if(F.col("status") == "partial").alias("partial"),
-        F.count_if(F.col("status") == "failed").alias("failed"),
-        F.coalesce(F.sum("processed_records"), F.lit(0)).cast("bigint").alias("records"),
-        F.count("*").alias("_tried"),
-        F.lit(1).alias("_one"),
+    rows = discovered.select(
+        F.lit(True).alias("is_found"), F.lit(None).cast("string").alias("status"), F.lit(0).alias("n")
+    ).unionByName(
+        outcomes.select(F.lit(False).alias("is_found"), "status", F.col("processed_records").alias("n"))
     )
-    found = discovered.agg(F.count("*").alias("discovered"), F.lit(1).alias("_one"))
-    return found.join(done, "_one").select(
+    status = F.col("status")
+    counted = rows.agg(
+        F.count_if("is_found").alias("discovered"),
+        F.count_if(~F.col("is_found")).alias("_tried"),
+        *[F.count_if(status == name).alias(name) for name in ("processed", "partial", "failed")],
+        F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("records"),
+    )
+    return counted.select(
         "discovered", "processed", "partial",
         (F.col("discovered") - F.col("_tried")).alias("skipped"),
         "failed", "records",

@@ -24,7 +24,7 @@ from jobweft.plans.seeds import missing_seeds, seed_frame
 from jobweft.schemas import ERRORS, LEDGER, POSTINGS, RECORD
 from jobweft.session import cut_lineage
 from jobweft.settings import Board, HourLimits, boards_frame, load_boards, load_hour_limits
-from jobweft.sources.adapters import ADAPTERS, Adapter, read_jobs
+from jobweft.sources.adapters import ADAPTERS, RUN_FIELDS, Adapter, read_rows
 from jobweft.sources.boards import attribute_runs
 from jobweft.sources.silver import SilverTables, whole
 
@@ -44,8 +44,7 @@ class Rules:
 
 def parse_runs(runs: DataFrame, rules: Rules, dimensions: DataFrame) -> tuple[DataFrame, ...]:
     """(accepted records, error rows, runs with run_error) of attributed runs."""
-    jobs, checked_runs = read_jobs(runs, rules.adapters)
-    records = enrich_jobs(jobs, rules.dictionaries, rules.limits)
+    records = enrich_jobs(read_rows(runs, rules.adapters), rules.dictionaries, rules.limits)
     checked = check_records(
         records,
         dimensions.where(F.col("dimension") == "sources"),
@@ -53,9 +52,13 @@ def parse_runs(runs: DataFrame, rules: Rules, dimensions: DataFrame) -> tuple[Da
         unseeded_names(rules.dictionaries, dimensions),
         rules.limits,
     )
-    # Parsing is the costly part and three consumers follow, so keep its result.
-    good, bad = split_quarantine(cut_lineage(checked))
-    return good, bad, checked_runs
+    # Parsing is the costly part and several consumers follow: the payloads are read
+    # once and the rows kept, those that only stand for their run included.
+    rows = cut_lineage(checked)
+    good, bad = split_quarantine(rows.where(F.col("pos").isNotNull()))
+    facts = ["source_key", "retrieved_at", *RUN_FIELDS]
+    seen = rows.groupBy(*_RUN).agg(*[F.max(c).alias(c) for c in facts])
+    return good.drop(*RUN_FIELDS), bad, seen
 
 
 def unseeded_names(
@@ -112,14 +115,14 @@ def load_runs(
     named = discovered.where(F.col("source_id").isNotNull() & F.col("run_id").isNotNull())
     attributed = attribute_runs(named, boards_frame(spark, rules.boards))
     todo = runs_to_process(attributed, ledger, retry_partial=retry_partial)
-    good, bad, checked_runs = parse_runs(todo, rules, dimensions)
+    good, bad, seen_runs = parse_runs(todo, rules, dimensions)
 
     unknown = todo.where(~F.col("adapter_id").isin(list(rules.adapters))).drop("payload")
     unknown = unknown.withColumn(
         "run_error",
         F.coalesce("run_error", F.concat(F.lit("No parser is registered for source: "), "adapter_id")),
     )
-    all_runs = checked_runs.unionByName(unknown.select(checked_runs.columns))
+    all_runs = seen_runs.unionByName(unknown.select(seen_runs.columns))
     outcomes = cut_lineage(run_outcomes(all_runs, good, bad))
     ledger_after = cut_lineage(
         advance_ledger(ledger, outcomes, PARSER_VERSION).select(*LEDGER)

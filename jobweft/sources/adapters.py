@@ -20,7 +20,11 @@ from jobweft.functions.text import currency_code, optional_text, strip
 from jobweft.functions.times import timestamp_error, timestamp_of
 
 _RUN_KEYS = ["source_id", "run_id", "source_key", "retrieved_at"]
-_ITEM_KEYS = [*_RUN_KEYS, "pos", "is_object", "raw_advertisement", "default_company"]
+#: Columns of the run that every row keeps, so that runs can be told from rows.
+RUN_FIELDS = ["adapter_id", "raw_path", "record_count", "payload_sha256", "run_error"]
+_ITEM_KEYS = [
+    *_RUN_KEYS, *RUN_FIELDS, "pos", "is_object", "raw_advertisement", "default_company",
+]
 _RAW_FALSY = ["", "[]", "{}", "0", "false", "null"]
 
 
@@ -56,13 +60,17 @@ class Adapter:
         )
 
     def read_fields(self, runs: DataFrame) -> DataFrame:
-        """One row per advertisement of the usable runs, in the common fields."""
+        """One row per advertisement, in the common fields.
+
+        A run without a usable list, or with an empty one, has one row whose
+        ``pos`` is NULL; its ``run_error`` tells which.
+        """
         items = runs.select(
-            *_RUN_KEYS,
+            *_RUN_KEYS, *RUN_FIELDS,
             F.coalesce("context_company", F.lit("")).alias("default_company"),
-            F.posexplode("jobs").alias("pos", "_item"),
+            F.posexplode_outer("jobs").alias("pos", "_item"),
         ).select(
-            *_RUN_KEYS, "pos", "default_company",
+            *_RUN_KEYS, *RUN_FIELDS, "pos", "default_company",
             F.col("_item.is_object").alias("is_object"),
             F.col("_item.raw").alias("raw_advertisement"),
         )
@@ -279,13 +287,24 @@ def read_jobs(
     runs: DataFrame, adapters: dict[str, Adapter] = ADAPTERS
 ) -> tuple[DataFrame, DataFrame]:
     """Split attributed runs into (advertisement rows, runs with their ``run_error``)."""
-    listed = [
-        adapter.list_jobs(runs.where(F.col("adapter_id") == name))
+    rows = read_rows(runs, adapters)
+    checked = [
+        adapter.list_jobs(runs.where(F.col("adapter_id") == name)).drop("jobs")
+        for name, adapter in adapters.items()
+    ]
+    return rows.where(F.col("pos").isNotNull()), reduce(DataFrame.unionByName, checked)
+
+
+def read_rows(runs: DataFrame, adapters: dict[str, Adapter] = ADAPTERS) -> DataFrame:
+    """Advertisement rows, with one row of NULL ``pos`` for every run that has none.
+
+    One pass over the payloads yields both advertisements and run errors.
+    """
+    rows = [
+        adapter.read_fields(adapter.list_jobs(runs.where(F.col("adapter_id") == name)))
         for name, adapter in adapters.items()
     ]
-    jobs = [a.read_fields(part) for a, part in zip(adapters.values(), listed)]
-    checked = [part.drop("jobs") for part in listed]
-    return _finish(reduce(DataFrame.unionByName, jobs)), reduce(DataFrame.unionByName, checked)
+    return _finish(reduce(DataFrame.unionByName, rows))
 
 
 def _finish(jobs: DataFrame) -> DataFrame:
@@ -297,7 +316,7 @@ def _finish(jobs: DataFrame) -> DataFrame:
         F.transform("places", lambda place: strip(place)), lambda place: place != ""
     )
     read = jobs.select(
-        *_RUN_KEYS, "pos", "raw_advertisement", "title", "body",
+        *_RUN_KEYS, *RUN_FIELDS, "pos", "raw_advertisement", "title", "body",
         F.col("id_text").alias("source_job_id"),
         optional_text(F.col("error_id_text")).alias("error_job_id"),
         F.when(~F.col("is_object"), F.lit("Job is not an object"))

@@ -28,11 +28,19 @@ def discover_runs(spark: SparkSession, root: str) -> DataFrame:
     return metadata.join(_paths(spark, root, "response.json"), "run_dir", "left_semi")
 
 
-def read_run_files(spark: SparkSession, root: str, adapter_id: str) -> DataFrame:
-    """The file layout as a runs frame; incomplete folders are left out."""
+def read_run_files(
+    spark: SparkSession, root: str, adapter_id: str, done: DataFrame | None = None
+) -> DataFrame:
+    """The file layout as a runs frame; incomplete folders are left out.
+
+    ``done`` (source_id, run_id) are runs to leave out before their payloads are
+    joined, which keeps those out of every shuffle.
+    """
     metadata = _texts(spark, root, "metadata.json", "metadata_text")
     payload = _texts(spark, root, "response.json", "payload")
     runs = parse_run_metadata(metadata, F.col("metadata_text"))
+    if done is not None:
+        runs = runs.join(done.select("source_id", "run_id"), ["source_id", "run_id"], "left_anti")
     return (
         runs.join(payload, "run_dir")
         .withColumn("adapter_id", F.lit(adapter_id))

@@ -24,7 +24,7 @@ def test_no_cross_join_and_no_single_partition_window(spark, sf_dir):
             continue  # they run jobs while they are built
         text = plan(query(spark, sf_dir))
         assert "CartesianProduct" not in text, name
-        assert "BroadcastNestedLoopJoin" not in text or name == "load_counters", name
+        assert "BroadcastNestedLoopJoin" not in text, name
 
 
 def test_scans_are_pruned_and_filters_pushed(spark, sf_dir):
