@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from jobweft.llm import near_dedup
+from jobweft.llm import mixing, near_dedup, sharding
 from jobweft.llm.common import table
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -45,8 +46,27 @@ WITH RECURSIVE docs AS (SELECT doc_id, text FROM documents), {NEAR_SQL.replace('
 SELECT doc_id, n_shingles, component_id, kept FROM grouped
 """
 
+
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 40 shards by their id."""
+    placed = sharding.shard(table(spark, sf_dir, "documents"), shards=40)
+    return placed.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
+
+
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that a mix of 150 % of all words takes from each document."""
+    units = mixing.copies(table(spark, sf_dir, "documents"))
+    return units.select(
+        F.col("id").alias("doc_id"), "size", "source_size", "target",
+        (F.col("copies") * F.col("size")).alias("taken"),
+        F.explode(F.sequence(F.lit(1), F.col("copies_of").cast("int"))).alias("row"),
+    ).drop("row")
+
+
 QUERIES = {
     "op1_near_dedup": (op1_near_dedup, OP1_SQL),
+    "op7_sharding": (op7_sharding, None),
+    "op10_mixing": (op10_mixing, None),
 }
 
 
