@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobweft.llm import mixing, near_dedup, sharding
+from jobweft.llm import mixing, near_dedup, pseudonyms, quality, sharding
 from jobweft.llm.common import table
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -47,6 +47,35 @@ SELECT doc_id, n_shingles, component_id, kept FROM grouped
 """
 
 
+#: Stands for the secret a deployment keeps outside the code and passes in.
+SAMPLE_KEY = b"replace this key"
+
+
+def op4_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with personal data replaced by pseudonyms of the same form."""
+    return pseudonyms.replace_personal_data(table(spark, sf_dir, "documents"), SAMPLE_KEY)
+
+
+def _held_out():
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+
+
+def quality_model(spark: SparkSession, sf_dir: str) -> quality.CompressionModel:
+    """The classifier learned from the labelled documents that are not held out."""
+    texts = table(spark, sf_dir, "documents").where(~_held_out()).select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality").where("quality IS NOT NULL")
+    return quality.train(texts.join(labels, "doc_id").toDF("id", "text", "label"))
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document; good from 0.7 on."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = quality.score(docs, quality_model(spark, sf_dir))
+    return scored.select(
+        "doc_id", _held_out().alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted")
+    )
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 40 shards by their id."""
     placed = sharding.shard(table(spark, sf_dir, "documents"), shards=40)
@@ -65,6 +94,8 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_near_dedup": (op1_near_dedup, OP1_SQL),
+    "op4_pseudonyms": (op4_pseudonyms, None),
+    "op6_quality": (op6_quality, None),
     "op7_sharding": (op7_sharding, None),
     "op10_mixing": (op10_mixing, None),
 }
