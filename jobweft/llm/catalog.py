@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobweft.llm import mixing, near_dedup, pseudonyms, quality, sharding
+from jobweft.llm import decontaminate, main_text, mixing, near_dedup, pseudonyms, quality, sharding
 from jobweft.llm.common import table
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -47,6 +47,11 @@ SELECT doc_id, n_shingles, component_id, kept FROM grouped
 """
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, literally or paraphrased."""
+    return decontaminate.contaminations(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 #: Stands for the secret a deployment keeps outside the code and passes in.
 SAMPLE_KEY = b"replace this key"
 
@@ -56,6 +61,11 @@ def op4_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pseudonyms.replace_personal_data(table(spark, sf_dir, "documents"), SAMPLE_KEY)
 
 
+def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return main_text.main_text(table(spark, sf_dir, "pages"))
+
+
 def _held_out():
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
 
@@ -94,7 +104,9 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_near_dedup": (op1_near_dedup, OP1_SQL),
+    "op3_decontamination": (op3_decontamination, None),
     "op4_pseudonyms": (op4_pseudonyms, None),
+    "op5_main_text": (op5_main_text, None),
     "op6_quality": (op6_quality, None),
     "op7_sharding": (op7_sharding, None),
     "op10_mixing": (op10_mixing, None),

@@ -90,8 +90,13 @@ def shingle_set(words: list[bytes], width: int) -> np.ndarray:
     return np.unique(mix(total))
 
 
-def null_safe_int(column: pa.Array) -> pa.Array:
-    return column.cast(pa.int64())
+#: A join side of at most so many bytes goes to every task; a larger one is shuffled.
+BROADCAST_BYTES = 8 << 20
+
+
+def sized(side: DataFrame, row_bytes: int) -> DataFrame:
+    """``side`` (settled, rows of ``row_bytes``) for a join: counted, and sent out whole if small."""
+    return F.broadcast(side) if side.count() * row_bytes <= BROADCAST_BYTES else side
 
 
 def same(a: str, b: str):

@@ -27,6 +27,7 @@ from jobweft.llm.common import (
     same,
     settled,
     shingle_set,
+    sized,
     text_bytes,
 )
 from jobweft.llm.components import connected_components
@@ -35,6 +36,10 @@ from jobweft.llm.components import connected_components
 FRACTION_BITS = 48
 
 
+#: Shingles are counted by so many bits of their hash when crowded buckets are split.
+COUNT_BITS = 18
+
+
 def super_minhash(elements: np.ndarray, owner: np.ndarray, owners: int, slots: int, seed: int = 0) -> np.ndarray:
     """Signatures of ``owners`` sets, as an array of ``owners`` rows and ``slots`` columns.
 
@@ -154,7 +159,8 @@ def near_duplicates(
     text_col: str = "text",
     percent: int = 85,
     width: int = 5,
-    hubs: int = 32,
+    whole: int = 1024,
+    first_hubs: int = 64,
 ) -> DataFrame:
     """Group documents that share at least ``percent`` of their joint shingles.
 
@@ -166,11 +172,16 @@ def near_duplicates(
     2. Signatures of the classes are cut into bands; classes with an equal band are
        candidates. In a band's bucket all members meet the bucket's smallest id.
     3. Candidates whose sketches nearly agree are compared on their full sets.
-    4. Buckets that still hold several components go on with further hubs, those of
-       the smallest components first and twice as many each round; members that
-       were hubs have met all others and leave. No round pairs all members of a
-       large bucket, and none is left before every candidate pair of different
-       components was compared, so no link between found candidates is lost.
+    4. Members of buckets that still hold several components may be linked to others
+       than the hub. Sets that reach the threshold share one of their rarest
+       shingles (``percent`` of the set is left out), so these members are dealt to
+       buckets anew by those, with the largest size that a partner can have if they
+       agree from there on; this parts the many moderately similar members of a
+       crowd. Each such bucket goes on with further hubs, those of the smallest
+       components first and four times as many each round (all at once up to
+       ``whole`` members); hubs have met all others and leave. A bucket ends when it
+       is one component, so no link between candidates is lost and no round pairs
+       all members of a large bucket.
     5. Links are united by alternating stars.
 
     Null or empty texts, and texts without words, have no shingle and are linked
@@ -200,35 +211,30 @@ def near_duplicates(
     members = settled(
         keyed.join(first, "bucket").where("rep <> hub").select("bucket", "rep", "hub").distinct()
     )
-    sketches = heads.select("rep", "n", "sketch")
-    links = _links(sketches, plain, members.select(F.col("hub").alias("a"), F.col("rep").alias("b")), percent, width)
+    compared = _Comparison(heads, plain, members, percent, width)
+    links = compared.links(members.select(F.col("hub").alias("a"), F.col("rep").alias("b")))
     found = connected_components(links.toDF("u", "v"))
-    waiting, wide = members.select("bucket", "rep"), hubs
+    mixed = settled(_unsettled(members.select("bucket", "rep"), found).select("rep").distinct())
+    waiting, wide = compared.crowds(mixed), first_hubs
     while True:
         waiting = settled(_unsettled(waiting, found))
         if waiting.isEmpty():
             break
         order = Window.partitionBy("bucket").orderBy("size", F.xxhash64("rep"), "rep")
         chosen = settled(
-            waiting.select("bucket", "rep", "comp", "size")
-            .withColumn("place", F.row_number().over(order))
-            .where(F.col("place") <= wide)
-            .select("bucket", F.col("rep").alias("hub"), F.col("comp").alias("hub_comp"))
+            waiting.withColumn("place", F.row_number().over(order))
+            .where((F.col("place") <= wide) | ((F.col("members") <= whole) & (F.col("place") <= whole)))
+            .selectExpr("bucket", "rep AS hub", "comp AS hub_comp", "n AS hub_n", "reach AS hub_reach")
         )
-        pairs = waiting.join(chosen, "bucket").where("comp <> hub_comp")
-        more = _links(
-            sketches,
-            plain,
-            pairs.select(F.greatest("hub", "rep").alias("a"), F.least("hub", "rep").alias("b")),
-            percent,
-            width,
+        pairs = waiting.join(chosen, "bucket").where("comp <> hub_comp AND n <= hub_reach AND hub_n <= reach")
+        more = compared.links(
+            pairs.select(F.least("hub", "rep").alias("a"), F.greatest("hub", "rep").alias("b"))
         )
-        links = links.union(more)
-        found = connected_components(links.toDF("u", "v"))
+        found = settled(connected_components(found.toDF("u", "v").union(more.toDF("u", "v"))))
         waiting = waiting.join(
             chosen.select("bucket", F.col("hub").alias("rep")), ["bucket", "rep"], "left_anti"
-        ).select("bucket", "rep")
-        wide *= 2
+        ).select("bucket", "rep", "n", "reach")
+        wide *= 4
     labels = (
         classes.join(found, classes.rep == found.id, "left")
         .select("content", F.coalesce("component", "rep").alias("component_id"))
@@ -244,37 +250,91 @@ def near_duplicates(
 
 
 def _unsettled(waiting: DataFrame, found: DataFrame) -> DataFrame:
-    """Members of the buckets that hold several components, with the members' share there."""
-    labelled = waiting.join(found.withColumnRenamed("id", "rep"), "rep", "left").select(
-        "bucket", "rep", F.coalesce("component", "rep").alias("comp")
+    """Members of the buckets that hold several components, with their component's and bucket's sizes."""
+    labelled = (
+        waiting.join(found.withColumnRenamed("id", "rep"), "rep", "left")
+        .withColumn("comp", F.coalesce("component", "rep")).drop("component")
     )
     sizes = labelled.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("size"))
-    mixed = sizes.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
-    open_parts = sizes.join(mixed.select("bucket"), "bucket", "left_semi")
-    return labelled.join(open_parts, ["bucket", "comp"])
+    mixed = (
+        sizes.groupBy("bucket")
+        .agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.sum("size").alias("members"))
+        .where("lo <> hi").select("bucket", "members")
+    )
+    return labelled.join(sizes.join(mixed, "bucket"), ["bucket", "comp"])
 
 
-def _links(sketches: DataFrame, plain: DataFrame, pairs: DataFrame, percent: int, width: int) -> DataFrame:
-    """Those of the candidate pairs ``(a, b)`` that reach the threshold on full sets."""
-    bands, rows = banding(percent)
-    left, right = (
-        sketches.select(F.col("rep").alias(c), F.col("n").alias(f"n_{c}"), F.col("sketch").alias(f"sketch_{c}"))
-        for c in ("a", "b")
-    )
-    sized = (
-        pairs.where("a <> b").distinct().join(right, "b").join(left, "a")
-        .where(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
-        .select("a", "b", "sketch_a", "sketch_b")
-    )
-    close = settled(map_batches(sized, _sketch_filter(bands * rows, percent), "a bigint, b bigint").distinct())
-    wanted = close.select(F.col("a").alias("id")).union(close.select(F.col("b").alias("id"))).distinct()
-    texts = settled(plain.join(wanted, "id", "left_semi"))
-    both = (
-        close.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
-        .join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
-        .select("a", "b", "text_a", "text_b")
-    )
-    return settled(map_batches(both, _verifier(percent, width), "a bigint, b bigint").distinct())
+class _Comparison:
+    """Compares candidate pairs: lengths and sketches first, then full sets of shingles."""
+
+    def __init__(self, heads: DataFrame, plain: DataFrame, members: DataFrame, percent: int, width: int):
+        bands, rows = banding(percent)
+        self.slots, self.percent, self.width = bands * rows, percent, width
+        wanted = settled(members.select("rep").union(members.select("hub")).distinct().toDF("id"))
+        small = sized(wanted, 16)
+        self.sketches = settled(
+            heads.join(small, heads.rep == small.id, "left_semi").select(F.col("rep").alias("id"), "n", "sketch")
+        )
+        self.texts = settled(plain.join(small, "id", "left_semi").distinct())
+
+    def crowds(self, reps: DataFrame) -> DataFrame:
+        """``(bucket, rep, n, reach)``: the members in buckets of their rarest shingles.
+
+        Any common order of the shingles keeps every link; rarity is taken from a
+        table of counts by hash, whose size is fixed. If the bucket's shingle is the
+        first that two sets share, they share no more than what follows it in
+        either: a partner's size is at most ``reach``.
+        """
+        texts = settled(
+            self.texts.join(sized(reps, 16), self.texts.id == reps.rep, "left_semi").select("id", "text")
+        )
+        width, percent = self.width, self.percent
+
+        def count(batches):
+            held = np.zeros(1 << COUNT_BITS, np.int64)
+            for batch in batches:
+                for text in text_bytes(batch, "text"):
+                    np.add.at(held, shingle_set(lower_words(text), width) >> U64(64 - COUNT_BITS), 1)
+            at = np.flatnonzero(held)
+            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(held[at])], names=["place", "n"])
+
+        counted = texts.mapInArrow(count, "place bigint, n bigint").groupBy("place").agg(F.sum("n").alias("n")).toArrow()
+        counts = np.zeros(1 << COUNT_BITS, np.int64)
+        counts[counted.column("place").to_numpy()] = counted.column("n").to_numpy()
+
+        def rarest(batch: pa.RecordBatch):
+            for rep, text in zip(batch.column("id").to_pylist(), text_bytes(batch, "text"), strict=True):
+                found = shingle_set(lower_words(text), width)
+                order = np.lexsort((found, counts[found >> U64(64 - COUNT_BITS)]))
+                n = len(found)
+                head = found[order[: n - -(-percent * n // 100) + 1]]
+                reach = (n - np.arange(len(head))) * (100 + percent) // percent - n
+                columns = [head.view(np.int64), np.full(len(head), rep), np.full(len(head), n), reach]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, pa.int64()) for c in columns], names=["bucket", "rep", "n", "reach"]
+                )
+
+        rows = settled(map_batches(texts, rarest, "bucket bigint, rep bigint, n bigint, reach bigint"))
+        least = rows.groupBy("bucket").agg(F.min("n").alias("least"), F.max("reach").alias("most"))
+        return rows.join(least, "bucket").where("least <= reach AND n <= most").drop("least", "most")
+
+    def links(self, pairs: DataFrame) -> DataFrame:
+        """Those of the pairs ``(a, b)`` that reach the threshold."""
+        left, right = (
+            self.sketches.select(F.col("id").alias(c), F.col("n").alias(f"n_{c}"), F.col("sketch").alias(f"sketch_{c}"))
+            for c in ("a", "b")
+        )
+        near = (
+            pairs.where("a <> b").distinct().join(right, "b").join(left, "a")
+            .where(f"100 * least(n_a, n_b) >= {self.percent} * greatest(n_a, n_b)")
+            .select("a", "b", "sketch_a", "sketch_b")
+        )
+        close = settled(map_batches(near, _sketch_filter(self.slots, self.percent), "a bigint, b bigint").distinct())
+        first = sized(close, 24).join(self.texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
+        ends = sized(settled(close.select("a").distinct()), 16)
+        hubs = settled(self.texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")).join(ends, "a", "left_semi"))
+        both = first.join(hubs, "a").select("a", "b", "text_a", "text_b")
+        return settled(map_batches(both, _verifier(self.percent, self.width), "a bigint, b bigint").distinct())
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80) -> DataFrame:
