@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jobweft.llm.common import map_batches, settled, text_bytes
+from jobweft.llm.common import blocks, map_batches, settled, text_bytes
 
 #: Hashed words: 2 to this power. Bounds the tables that every task gets.
 HASH_BITS = 18
@@ -27,6 +27,9 @@ HASH_BITS = 18
 #: Directions of the latent space, and those drawn in excess to find them.
 RANK, EXCESS, POWER_STEPS = 256, 16, 2
 
+#: Rows of a product that one task adds up.
+SUMMED_ROWS = 16
+
 #: A longer benchmark text is cut into passages of so many words.
 PASSAGE_WORDS = 64
 
@@ -37,8 +40,8 @@ QUERY_BLOCK = 20_000
 #: or together with the answer.
 LEAST_COSINE, LEAST_ORDER, ORDER_WITH_ANSWER = 0.45, 0.7, 0.5
 
-#: What is no letter, digit or underscore at a word's ends does not count.
-EDGES = b"!\"#$%&'()*+,-./:;<=>?@[\\]^`{|}~"
+#: Bytes to bytes: ASCII punctuation and controls become spaces.
+FOLD = bytes(c if c >= 128 or chr(c).isalnum() or c == 95 else 32 for c in range(256))
 
 #: The answer is what follows the last of these; a text without any has its last sentence.
 ANSWER = re.compile(rb"(?i)\b(?:answer|solution)\s*:\s*")
@@ -46,8 +49,8 @@ SENTENCE = re.compile(rb"(?<=[.!?])\s+|\n")
 
 
 def words_of(text: bytes | None) -> list[bytes]:
-    """Lower-case words without punctuation at their ends; words of punctuation are left out."""
-    return [w for w in (x.strip(EDGES) for x in text.lower().split()) if w] if text else []
+    """Runs of letters, digits and underscores, in lower case; only ASCII characters part words."""
+    return text.decode("utf-8", "replace").lower().encode().translate(FOLD).split() if text else []
 
 
 def places(words: list[bytes]) -> np.ndarray:
@@ -164,18 +167,24 @@ def latent_space(parts: DataFrame, weights: np.ndarray, seed: int = 1) -> Latent
             for batch in batches:
                 for at, values in _vectors(batch, weights):
                     total[np.searchsorted(vocabulary, at)] += np.outer(values, space.project(at, values))
-            used = np.flatnonzero(total.any(axis=1))
-            for start in range(0, len(used), 4096):
-                some = used[start : start + 4096]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(some), pa.array(list(total[some]), pa.list_(pa.float64()))], names=["row", "sums"]
-                )
+            for start in range(0, len(total), SUMMED_ROWS):
+                some = total[start : start + SUMMED_ROWS]
+                if some.any():
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([start]), pa.array([some.tobytes()], pa.binary())], names=["start", "sums"]
+                    )
+
+        def add_up(table: pa.Table) -> pa.Table:
+            sums = [np.frombuffer(x, np.float64) for x in table.column("sums").to_pylist()]
+            return pa.table({"start": table.column("start")[:1], "sums": pa.array([np.sum(sums, axis=0).tobytes()], pa.binary())})
 
         out = np.zeros_like(current)
-        for row in parts.mapInArrow(multiply, "row bigint, sums array<double>").groupBy("row").agg(
-            F.array(*[F.sum(F.col("sums")[k]) for k in range(width)]).alias("sums")
-        ).toLocalIterator():
-            out[row.row] = row.sums
+        added = parts.mapInArrow(multiply, "start bigint, sums binary").groupBy("start").applyInArrow(
+            add_up, "start bigint, sums binary"
+        )
+        for row in added.toLocalIterator():
+            some = np.frombuffer(row.sums, np.float64).reshape(-1, width)
+            out[row.start : row.start + len(some)] = some
         return out
 
     for _ in range(POWER_STEPS):
@@ -225,7 +234,6 @@ class Searcher:
         self.row_of = np.full(1 << HASH_BITS, -1, np.int32)
         self.row_of[space.vocabulary] = np.arange(len(space.vocabulary))
         self.vectors = space.basis * space.weights[space.vocabulary, None].astype(np.float32)
-        self.lengths = np.linalg.norm(self.vectors, axis=1)
         latent = np.zeros((len(rows), space.basis.shape[1]), np.float32)
         for i, words in enumerate(self.words):
             at, counts = np.unique(places(words), return_counts=True)
@@ -233,41 +241,59 @@ class Searcher:
             latent[i] = space.project(at, values / (np.linalg.norm(values) or 1.0))
         # A window equal to the passage gets 1, however much of it the space keeps.
         self.queries = latent / np.maximum((latent**2).sum(axis=1, keepdims=True), 1e-12)
-        self.reach = np.linalg.norm(self.queries, axis=1)
-        # Windows of each size class serve the passages of about that many words.
+        # Windows of each size serve the passages of about that many words.
         counts = np.maximum([len(w) for w in self.words], 4)
-        classes = np.rint(2 ** (np.rint(2 * np.log2(counts)) / 2)).astype(int)
-        self.classes = [(int(size), np.flatnonzero(classes == size)) for size in np.unique(classes)]
-
-    def find(self, text: bytes | None) -> dict[int, tuple[int, float, float, bool]]:
-        """Best ``(start word, cosine, order, answer)`` of each passage that the text holds."""
-        words = words_of(text)
-        if not words or not self.items:
-            return {}
-        at = places(words)
-        rows = self.row_of[at]
-        hits = np.flatnonzero(rows >= 0)
-        if not len(hits):
-            return {}
-        weights = self.weights[at]
+        sizes = np.rint(2 ** (np.rint(2 * np.log2(counts)) / 2)).astype(int)
+        self.classes = []
+        for size in np.unique(sizes):
+            members = np.flatnonzero(sizes == size)
+            self.classes.append((int(size), members, self._best(members)))
+
+    def _best(self, members: np.ndarray) -> np.ndarray:
+        """The most that each known word adds to a product with any of the passages."""
+        best = np.zeros(len(self.vectors))
+        for start in range(0, len(members), 1024):
+            part = self.queries[members[start : start + 1024]]
+            np.maximum(best, (self.vectors @ part.T).max(axis=1), out=best)
+        return best
+
+    def find(self, texts: list[bytes | None]) -> list[dict[int, tuple[int, float, float, bool]]]:
+        """For each text the best ``(start word, cosine, order, answer)`` of the passages it holds."""
+        worded = [words_of(t) for t in texts]
+        found: list[dict[int, tuple[int, float, float, bool]]] = [{} for _ in texts]
+        counts = np.array([len(w) for w in worded], np.int64)
+        total = int(counts.sum())
+        if not total or not self.items:
+            return found
+        at = np.fromiter((c for words in worded for c in map(zlib.crc32, words)), np.uint32, total)
+        at >>= np.uint32(32 - HASH_BITS)
+        rows, weights = self.row_of[at], self.weights[at]
+        begin = np.cumsum(counts) - counts
         energy = np.concatenate([[0.0], np.cumsum(weights * weights)])
-        known = rows[hits]
-        bound = np.concatenate([[0.0], np.cumsum(self.lengths[known])])
-        found: dict[int, tuple[int, float, float, bool]] = {}
-        for size, members in self.classes:
-            starts = np.arange(0, max(1, len(words) - size + 1 + size // 4), max(1, size // 4))
-            ends = np.minimum(starts + size, len(words))
-            norms = np.sqrt(energy[ends] - energy[starts])
-            first, last = np.searchsorted(hits, starts), np.searchsorted(hits, ends)
-            # No window whose words' lengths sum to less can reach the least cosine.
-            near = np.flatnonzero((bound[last] - bound[first]) * self.reach[members].max() >= LEAST_COSINE * norms - 1e-9)
-            for w in near:
-                if first[w] == last[w]:
-                    continue
-                total = self.vectors[known[first[w] : last[w]]].sum(axis=0)
-                cosines = self.queries[members] @ total / max(norms[w], 1e-12)
-                for m in np.flatnonzero(cosines >= LEAST_COSINE):
-                    self._check(int(members[m]), float(cosines[m]), int(starts[w]), size, words, found)
+        hit = np.flatnonzero(rows >= 0)
+        for size, members, best in self.classes:
+            gain = np.zeros(total)
+            gain[hit] = best[rows[hit]]
+            gains = np.concatenate([[0.0], np.cumsum(gain)])
+            stride = max(1, size // 4)
+            windows = np.maximum(1, -(-(counts - size) // stride) + 1) * (counts > 0)
+            owner = np.repeat(np.arange(len(texts)), windows)
+            nth = np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows)
+            starts = begin[owner] + nth * stride
+            ends = np.minimum(starts + size, begin[owner] + counts[owner])
+            # ``energy`` takes repeated words as different ones, so it is a lower bound of the length.
+            lengths = np.sqrt(np.maximum(energy[ends] - energy[starts], 0.0))
+            for w in np.flatnonzero(gains[ends] - gains[starts] >= LEAST_COSINE * lengths - 1e-6):
+                places_in, times = np.unique(at[starts[w] : ends[w]], return_counts=True)
+                values = times * self.weights[places_in]
+                length = float(np.linalg.norm(values))
+                known = self.row_of[places_in]
+                if (values > 0).any() and (times[known >= 0] @ best[known[known >= 0]]) >= LEAST_COSINE * length:
+                    inside = known >= 0
+                    cosines = self.queries[members] @ (times[inside] @ self.vectors[known[inside]]) / length
+                    doc, start = owner[w], int(starts[w] - begin[owner[w]])
+                    for m in np.flatnonzero(cosines >= LEAST_COSINE):
+                        self._check(int(members[m]), float(cosines[m]), start, size, worded[doc], found[doc])
         return found
 
     def _check(self, member: int, cosine: float, start: int, size: int, words: list[bytes], found: dict) -> None:
@@ -345,13 +371,15 @@ def _search(rows: list, space: LatentSpace):
         if not made:
             made.append(Searcher(rows, space))
         searcher, out = made[0], []
-        for doc, text in zip(batch.column("doc_id").to_pylist(), text_bytes(batch, "text"), strict=True):
-            best: dict[int, tuple] = {}
-            for member, (start, cosine, order, answer) in searcher.find(text).items():
-                item = searcher.items[member]
-                if item not in best or (order, cosine) > (best[item][2], best[item][1]):
-                    best[item] = (start, cosine, order, answer)
-            out += [(doc, item, *values) for item, values in best.items()]
+        docs, texts = batch.column("doc_id").to_pylist(), text_bytes(batch, "text")
+        for first, last in blocks(texts):
+            for doc, hits in zip(docs[first:last], searcher.find(texts[first:last]), strict=True):
+                best: dict[int, tuple] = {}
+                for member, (start, cosine, order, answer) in hits.items():
+                    item = searcher.items[member]
+                    if item not in best or (order, cosine) > (best[item][2], best[item][1]):
+                        best[item] = (start, cosine, order, answer)
+                out += [(doc, item, *values) for item, values in best.items()]
         kinds = (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.bool_())
         yield pa.RecordBatch.from_arrays(
             [pa.array([r[k] for r in out], t) for k, t in enumerate(kinds)],
