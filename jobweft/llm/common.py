@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +17,7 @@ from jobweft.session import cut_lineage
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
 #: Bytes of text that one vectorised step works on.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 
 U64 = np.uint64
 
@@ -45,17 +46,18 @@ def text_bytes(batch: pa.RecordBatch, name: str) -> list[bytes | None]:
     return batch.column(name).cast(pa.large_binary()).to_pylist()
 
 
-def blocks(texts: list[bytes | None], limit: int = BLOCK_BYTES) -> Iterator[tuple[int, int]]:
-    """Ranges of rows holding about ``limit`` bytes; a longer text is a range of its own."""
-    start, held = 0, 0
-    for i, text in enumerate(texts):
-        size = len(text) if text else 0
-        if i > start and held + size > limit:
-            yield start, i
-            start, held = i, 0
-        held += size
-    if start < len(texts):
-        yield start, len(texts)
+def text_blocks(batch: pa.RecordBatch, name: str, limit: int = BLOCK_BYTES) -> Iterator[tuple[int, list[bytes | None]]]:
+    """A text column in runs of rows holding about ``limit`` bytes, with their first row.
+
+    Only one run at a time is turned into Python objects; a longer text is a run alone.
+    """
+    column = batch.column(name)
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    start = 0
+    while start < len(sizes):
+        end = start + max(1, int(np.searchsorted(np.cumsum(sizes[start : start + 4096]), limit)))
+        yield start, column.slice(start, end - start).cast(pa.large_binary()).to_pylist()
+        start = end
 
 
 def mix(x: np.ndarray) -> np.ndarray:

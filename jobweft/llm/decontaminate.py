@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jobweft.llm.common import blocks, map_batches, settled, text_bytes
+from jobweft.llm.common import map_batches, settled, text_blocks, text_bytes
 
 #: Hashed words: 2 to this power. Bounds the tables that every task gets.
 HASH_BITS = 18
@@ -67,15 +67,10 @@ def document_frequencies(docs: DataFrame, text_col: str) -> tuple[np.ndarray, in
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, total = np.zeros(1 << HASH_BITS, np.int64), 0
         for batch in batches:
-            for text in text_bytes(batch, "text"):
-                total += 1
-                seen = np.zeros(1 << HASH_BITS, bool) if text and len(text) > 1 << 20 else None
-                found = places(words_of(text))
-                if seen is None:
-                    held[np.unique(found)] += 1
-                else:
-                    seen[found] = True
-                    held += seen
+            for _, texts in text_blocks(batch, "text"):
+                total += len(texts)
+                for text in texts:
+                    held[np.unique(places(words_of(text)))] += 1
         at = np.flatnonzero(held)
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.append(at, -1)), pa.array(np.append(held[at], total))], names=["place", "n"]
@@ -371,9 +366,9 @@ def _search(rows: list, space: LatentSpace):
         if not made:
             made.append(Searcher(rows, space))
         searcher, out = made[0], []
-        docs, texts = batch.column("doc_id").to_pylist(), text_bytes(batch, "text")
-        for first, last in blocks(texts):
-            for doc, hits in zip(docs[first:last], searcher.find(texts[first:last]), strict=True):
+        docs = batch.column("doc_id").to_pylist()
+        for first, texts in text_blocks(batch, "text"):
+            for doc, hits in zip(docs[first : first + len(texts)], searcher.find(texts), strict=True):
                 best: dict[int, tuple] = {}
                 for member, (start, cosine, order, answer) in hits.items():
                     item = searcher.items[member]

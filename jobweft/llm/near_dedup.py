@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 from jobweft.llm.common import (
     PLACES,
     U64,
-    blocks,
     lower_words,
     map_batches,
     mix,
@@ -28,6 +27,7 @@ from jobweft.llm.common import (
     settled,
     shingle_set,
     sized,
+    text_blocks,
     text_bytes,
 )
 from jobweft.llm.components import connected_components
@@ -95,10 +95,9 @@ def banding(percent: int) -> tuple[int, int]:
 
 def _sketcher(id_col: str, text_col: str, width: int, bands: int, rows: int):
     def sketch(batch: pa.RecordBatch):
-        texts = text_bytes(batch, text_col)
         ids = batch.column(id_col).cast(pa.int64())
-        for start, end in blocks(texts):
-            words = [lower_words(t) for t in texts[start:end]]
+        for start, texts in text_blocks(batch, text_col):
+            words = [lower_words(t) for t in texts]
             sets = [shingle_set(w, width) for w in words]
             sizes = np.array([len(s) for s in sets])
             owner = np.repeat(np.arange(len(sets)), sizes)
@@ -107,7 +106,7 @@ def _sketcher(id_col: str, text_col: str, width: int, bands: int, rows: int):
             low = (mix(held) & U64(255)).astype(np.uint8)
             yield pa.RecordBatch.from_arrays(
                 [
-                    ids.slice(start, end - start),
+                    ids.slice(start, len(texts)),
                     pa.array(sizes, pa.int64()),
                     pa.array([hashlib.blake2b(b" ".join(w), digest_size=16).digest() for w in words], pa.binary()),
                     pa.array([low[i].tobytes() for i in range(len(sets))], pa.binary()),
@@ -139,16 +138,18 @@ def _verifier(percent: int, width: int):
     """Keep the pairs whose full shingle sets reach the threshold."""
 
     def keep(batch: pa.RecordBatch):
-        left, right = text_bytes(batch, "text_a"), text_bytes(batch, "text_b")
-        hubs = batch.column("a").to_pylist()
-        chosen, last, hub = [], None, None
-        for i, text in enumerate(right):
-            if hub is None or hubs[i] != last or left[i] != left[i - 1]:
-                last, hub = hubs[i], shingle_set(lower_words(left[i]), width)
-            other = shingle_set(lower_words(text), width)
-            shared = len(np.intersect1d(hub, other, assume_unique=True))
-            chosen.append(100 * shared >= percent * (len(hub) + len(other) - shared) and shared > 0)
-        yield batch.select(["a", "b"]).filter(pa.array(chosen, pa.bool_()))
+        last, hub = None, None
+        for start, right in text_blocks(batch, "text_b"):
+            some = batch.slice(start, len(right))
+            hubs, chosen = some.column("a").to_pylist(), []
+            for i, text in enumerate(right):
+                mine = some.column("text_a")[i].as_py()
+                if last != (hubs[i], mine):
+                    last, hub = (hubs[i], mine), shingle_set(lower_words(mine.encode()), width)
+                other = shingle_set(lower_words(text), width)
+                shared = len(np.intersect1d(hub, other, assume_unique=True))
+                chosen.append(100 * shared >= percent * (len(hub) + len(other) - shared) and shared > 0)
+            yield some.select(["a", "b"]).filter(pa.array(chosen, pa.bool_()))
 
     return keep
 
@@ -275,7 +276,7 @@ class _Comparison:
         self.sketches = settled(
             heads.join(small, heads.rep == small.id, "left_semi").select(F.col("rep").alias("id"), "n", "sketch")
         )
-        self.texts = settled(plain.join(small, "id", "left_semi").distinct())
+        self.texts = settled(plain.join(small, "id", "left_semi"))
 
     def crowds(self, reps: DataFrame) -> DataFrame:
         """``(bucket, rep, n, reach)``: the members in buckets of their rarest shingles.
