@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobweft.llm import decontaminate, main_text, mixing, near_dedup, pseudonyms, quality, sharding
+from jobweft.llm import decontaminate, fingerprints, line_dedup, main_text, mixing, near_dedup, pseudonyms, quality, sharding, url_lists
 from jobweft.llm.common import table
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -47,6 +47,11 @@ SELECT doc_id, n_shingles, component_id, kept FROM grouped
 """
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of nearly equal lines of all documents, and which line is kept."""
+    return line_dedup.line_groups(table(spark, sf_dir, "documents"))
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item, literally or paraphrased."""
     return decontaminate.contaminations(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -72,9 +77,8 @@ def _held_out():
 
 def quality_model(spark: SparkSession, sf_dir: str) -> quality.CompressionModel:
     """The classifier learned from the labelled documents that are not held out."""
-    texts = table(spark, sf_dir, "documents").where(~_held_out()).select("doc_id", "text")
-    labels = table(spark, sf_dir, "labels").select("doc_id", "quality").where("quality IS NOT NULL")
-    return quality.train(texts.join(labels, "doc_id").toDF("id", "text", "label"))
+    labels = table(spark, sf_dir, "labels").where(~_held_out()).select(F.col("doc_id").alias("id"), F.col("quality").alias("label"))
+    return quality.train(table(spark, sf_dir, "documents"), labels)
 
 
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,6 +96,73 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and of their edited texts."""
+    return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op9_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page against three dated lists, as they were when the page was fetched.
+
+    The tables have no lists and no fetch times; both are derived from ``pages``: the
+    hour of a fetch from the page's number, and the entries of the lists from the
+    hosts and their paths by the first digits of an MD5 hash.
+    """
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    start = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
+    captures = pages.withColumn("fetched_at", F.timestamp_add("HOUR", F.pmod(F.col("page_id") * 7919, F.lit(8760)), start))
+    place = F.regexp_extract("url", r"^[a-z]+://(([^/?#]*)(/[a-z]+)?)", 2)
+    hosts = pages.select(place.alias("host"), F.regexp_extract("url", r"^[a-z]+://([^/?#]*/[a-z]+)", 1).alias("path")).distinct()
+    h = F.conv(F.substring(F.md5(F.col("pattern").cast("binary")), 1, 4), 16, 10).cast("int")
+    kinds = F.array(
+        F.struct(F.lit("spam").alias("list"), F.lit("host").alias("kind"), F.col("host").alias("pattern")),
+        F.struct(F.lit("crawl").alias("list"), F.lit("domain").alias("kind"), F.regexp_extract("host", r"([^.]+\.[^.]+)$", 1).alias("pattern")),
+        F.struct(F.lit("language").alias("list"), F.lit("prefix").alias("kind"), F.col("path").alias("pattern")),
+    )
+    named = hosts.select(F.explode(kinds).alias("e")).select("e.*").where("pattern <> ''").distinct().withColumn("h", h)
+    steps = F.array(
+        *[
+            F.struct(F.lit(action).alias("action"), F.timestamp_add("DAY", (F.col("h") % modulus + offset).cast("bigint"), start).alias("effective_at"))
+            for action, modulus, offset in (("block", 97, 0), ("remove", 89, 120), ("allow", 61, 210), ("block", 53, 280))
+        ]
+    )
+    entries = named.where("h % 3 > 0").withColumn("step", F.explode(steps)).select("list", "kind", "pattern", "step.*")
+    return url_lists.filter_urls(captures, entries)
+
+
+OP9_SQL = r"""
+WITH captures AS (
+  SELECT page_id, url, TIMESTAMP '2024-01-01' + to_hours((page_id * 7919 % 8760)::INT) AS fetched_at,
+    regexp_extract(url, '^[a-z]+://([^/?#]*)', 1) AS host, regexp_extract(url, '^[a-z]+://([^/?#]*/[a-z]+)', 1) AS path
+  FROM pages),
+named AS (
+  SELECT DISTINCT 'spam' AS list, 'host' AS kind, host AS pattern FROM captures
+  UNION SELECT DISTINCT 'crawl', 'domain', regexp_extract(host, '([^.]+\.[^.]+)$', 1) FROM captures
+  UNION SELECT DISTINCT 'language', 'prefix', path FROM captures),
+hashed AS (SELECT *, ('0x' || substr(md5(pattern), 1, 4))::INT AS h FROM named WHERE pattern <> ''),
+steps AS (
+  SELECT *, unnest([{'a': 'block', 'd': h % 97}, {'a': 'remove', 'd': h % 89 + 120}, {'a': 'allow', 'd': h % 61 + 210},
+    {'a': 'block', 'd': h % 53 + 280}]) AS s FROM hashed WHERE h % 3 > 0),
+spans AS (
+  SELECT list, kind, pattern, s.a AS action, s.d AS start,
+    lead(s.d) OVER (PARTITION BY list, kind, pattern ORDER BY s.d) AS stop FROM steps),
+hits AS (
+  SELECT c.page_id, list, action, length(kind || ':' || pattern) AS n
+  FROM captures c JOIN spans e ON
+    (kind = 'host' AND pattern = host OR kind = 'domain' AND (host = pattern OR ends_with(host, '.' || pattern))
+     OR kind = 'prefix' AND pattern = path)
+    AND fetched_at >= TIMESTAMP '2024-01-01' + to_days(start::INT)
+    AND (stop IS NULL OR fetched_at < TIMESTAMP '2024-01-01' + to_days(stop::INT))
+  WHERE action <> 'remove'),
+decided AS (
+  SELECT page_id, array_to_string(list_sort(list_distinct(list(list))), ',') AS lists,
+    coalesce(max(n) FILTER (action = 'block'), 0) > coalesce(max(n) FILTER (action = 'allow'), 0) AS blocked
+  FROM hits GROUP BY page_id)
+SELECT c.page_id, c.url, c.fetched_at, coalesce(lists, '') AS lists, coalesce(blocked, false) AS blocked
+FROM captures c LEFT JOIN decided d ON c.page_id = d.page_id
+"""
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that a mix of 150 % of all words takes from each document."""
     units = mixing.copies(table(spark, sf_dir, "documents"))
@@ -104,11 +175,14 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_near_dedup": (op1_near_dedup, OP1_SQL),
+    "op2_line_dedup": (op2_line_dedup, None),
     "op3_decontamination": (op3_decontamination, None),
     "op4_pseudonyms": (op4_pseudonyms, None),
     "op5_main_text": (op5_main_text, None),
     "op6_quality": (op6_quality, None),
     "op7_sharding": (op7_sharding, None),
+    "op8_fingerprints": (op8_fingerprints, None),
+    "op9_url_lists": (op9_url_lists, OP9_SQL),
     "op10_mixing": (op10_mixing, None),
 }
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from jobweft.llm.common import settled
@@ -59,3 +61,60 @@ def connected_components(edges: DataFrame) -> DataFrame:
     return current.select(F.col("u").alias("id"), F.col("v").alias("component")).union(
         current.select("v", "v").distinct().toDF("id", "component")
     )
+
+
+#: Members of a bucket up to which all are hubs at once, and hubs of a larger one.
+WHOLE, FIRST_HUBS = 1024, 64
+
+
+def mixed_members(members: DataFrame, found: DataFrame) -> DataFrame:
+    """Members of the buckets that hold several components, with their component's and bucket's sizes."""
+    labelled = (
+        members.join(found.withColumnRenamed("id", "rep"), "rep", "left")
+        .withColumn("comp", F.coalesce("component", "rep")).drop("component")
+    )
+    sizes = labelled.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("size"))
+    mixed = (
+        sizes.groupBy("bucket")
+        .agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.sum("size").alias("members"))
+        .where("lo <> hi").select("bucket", "members")
+    )
+    return labelled.join(sizes.join(mixed, "bucket"), ["bucket", "comp"])
+
+
+def linked_members(
+    members: DataFrame,
+    found: DataFrame,
+    compare: Callable[[DataFrame], DataFrame],
+    condition: str = "true",
+    about: list[str] | None = None,
+) -> DataFrame:
+    """Components after linking ``members(bucket, rep, *about)`` of the same bucket.
+
+    ``found(id, component)`` holds what is linked already; ``compare`` returns those
+    of the pairs ``(a, b)`` that are links. Each round, a bucket that still holds
+    several components takes hubs, those of its smallest components first: all members
+    of a bucket of ``WHOLE`` or fewer, else ``FIRST_HUBS``, and four times as many
+    each round. Hubs meet the members of other components for which ``condition``
+    holds (their columns are named ``hub_*``) and then leave. A bucket ends when one
+    component is left, so every pair of a bucket is either joined already, ruled out
+    by the condition, or compared.
+    """
+    about, hubs = about or [], FIRST_HUBS
+    while True:
+        members = settled(mixed_members(members, found))
+        if members.isEmpty():
+            return found
+        order = Window.partitionBy("bucket").orderBy("size", F.xxhash64("rep"), "rep")
+        chosen = settled(
+            members.withColumn("place", F.row_number().over(order))
+            .where((F.col("place") <= hubs) | ((F.col("members") <= WHOLE) & (F.col("place") <= WHOLE)))
+            .select("bucket", *[F.col(c).alias(f"hub_{c}") for c in ["rep", "comp", *about]])
+        )
+        pairs = members.join(chosen, "bucket").where("comp <> hub_comp").where(condition)
+        more = compare(pairs.select(F.least("hub_rep", "rep").alias("a"), F.greatest("hub_rep", "rep").alias("b")))
+        found = settled(connected_components(found.toDF("u", "v").union(more.toDF("u", "v"))))
+        members = members.join(
+            chosen.select("bucket", F.col("hub_rep").alias("rep")), ["bucket", "rep"], "left_anti"
+        ).select("bucket", "rep", *about)
+        hubs *= 4

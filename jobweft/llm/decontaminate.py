@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jobweft.llm.common import map_batches, settled, text_blocks, text_bytes
+from jobweft.llm.common import map_batches, settled, sized, text_blocks, text_bytes
 
 #: Hashed words: 2 to this power. Bounds the tables that every task gets.
 HASH_BITS = 18
@@ -382,3 +382,17 @@ def _search(rows: list, space: LatentSpace):
         )
 
     return search
+
+
+def clean(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    item_id_col: str = "item_id",
+    item_text_col: str = "text",
+) -> DataFrame:
+    """The rows of ``docs`` whose document holds no benchmark item. Rows without id are kept."""
+    found = contaminations(docs, benchmark, id_col, text_col, item_id_col, item_text_col)
+    held = settled(found.select(F.col("doc_id").alias("__held")).where("__held IS NOT NULL").distinct())
+    return docs.join(sized(held, 16), docs[id_col] == F.col("__held"), "left_anti")

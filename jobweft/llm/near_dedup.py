@@ -14,7 +14,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from jobweft.llm.common import (
@@ -30,7 +30,7 @@ from jobweft.llm.common import (
     text_blocks,
     text_bytes,
 )
-from jobweft.llm.components import connected_components
+from jobweft.llm.components import connected_components, linked_members, mixed_members
 
 #: Bits of a slot's value that hold the random fraction; the rank stands above them.
 FRACTION_BITS = 48
@@ -160,8 +160,6 @@ def near_duplicates(
     text_col: str = "text",
     percent: int = 85,
     width: int = 5,
-    whole: int = 1024,
-    first_hubs: int = 64,
 ) -> DataFrame:
     """Group documents that share at least ``percent`` of their joint shingles.
 
@@ -178,11 +176,7 @@ def near_duplicates(
        shingles (``percent`` of the set is left out), so these members are dealt to
        buckets anew by those, with the largest size that a partner can have if they
        agree from there on; this parts the many moderately similar members of a
-       crowd. Each such bucket goes on with further hubs, those of the smallest
-       components first and four times as many each round (all at once up to
-       ``whole`` members); hubs have met all others and leave. A bucket ends when it
-       is one component, so no link between candidates is lost and no round pairs
-       all members of a large bucket.
+       crowd. Each such bucket goes on with further hubs (``linked_members``).
     5. Links are united by alternating stars.
 
     Null or empty texts, and texts without words, have no shingle and are linked
@@ -215,27 +209,10 @@ def near_duplicates(
     compared = _Comparison(heads, plain, members, percent, width)
     links = compared.links(members.select(F.col("hub").alias("a"), F.col("rep").alias("b")))
     found = connected_components(links.toDF("u", "v"))
-    mixed = settled(_unsettled(members.select("bucket", "rep"), found).select("rep").distinct())
-    waiting, wide = compared.crowds(mixed), first_hubs
-    while True:
-        waiting = settled(_unsettled(waiting, found))
-        if waiting.isEmpty():
-            break
-        order = Window.partitionBy("bucket").orderBy("size", F.xxhash64("rep"), "rep")
-        chosen = settled(
-            waiting.withColumn("place", F.row_number().over(order))
-            .where((F.col("place") <= wide) | ((F.col("members") <= whole) & (F.col("place") <= whole)))
-            .selectExpr("bucket", "rep AS hub", "comp AS hub_comp", "n AS hub_n", "reach AS hub_reach")
-        )
-        pairs = waiting.join(chosen, "bucket").where("comp <> hub_comp AND n <= hub_reach AND hub_n <= reach")
-        more = compared.links(
-            pairs.select(F.least("hub", "rep").alias("a"), F.greatest("hub", "rep").alias("b"))
-        )
-        found = settled(connected_components(found.toDF("u", "v").union(more.toDF("u", "v"))))
-        waiting = waiting.join(
-            chosen.select("bucket", F.col("hub").alias("rep")), ["bucket", "rep"], "left_anti"
-        ).select("bucket", "rep", "n", "reach")
-        wide *= 4
+    mixed = settled(mixed_members(members.select("bucket", "rep"), found).select("rep").distinct())
+    found = linked_members(
+        compared.crowds(mixed), found, compared.links, "n <= hub_n_reach AND hub_n <= n_reach", ["n", "n_reach"]
+    )
     labels = (
         classes.join(found, classes.rep == found.id, "left")
         .select("content", F.coalesce("component", "rep").alias("component_id"))
@@ -250,21 +227,6 @@ def near_duplicates(
     )
 
 
-def _unsettled(waiting: DataFrame, found: DataFrame) -> DataFrame:
-    """Members of the buckets that hold several components, with their component's and bucket's sizes."""
-    labelled = (
-        waiting.join(found.withColumnRenamed("id", "rep"), "rep", "left")
-        .withColumn("comp", F.coalesce("component", "rep")).drop("component")
-    )
-    sizes = labelled.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("size"))
-    mixed = (
-        sizes.groupBy("bucket")
-        .agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.sum("size").alias("members"))
-        .where("lo <> hi").select("bucket", "members")
-    )
-    return labelled.join(sizes.join(mixed, "bucket"), ["bucket", "comp"])
-
-
 class _Comparison:
     """Compares candidate pairs: lengths and sketches first, then full sets of shingles."""
 
@@ -279,12 +241,12 @@ class _Comparison:
         self.texts = settled(plain.join(small, "id", "left_semi"))
 
     def crowds(self, reps: DataFrame) -> DataFrame:
-        """``(bucket, rep, n, reach)``: the members in buckets of their rarest shingles.
+        """``(bucket, rep, n, n_reach)``: the members in buckets of their rarest shingles.
 
         Any common order of the shingles keeps every link; rarity is taken from a
         table of counts by hash, whose size is fixed. If the bucket's shingle is the
         first that two sets share, they share no more than what follows it in
-        either: a partner's size is at most ``reach``.
+        either: a partner's size is at most ``n_reach``.
         """
         texts = settled(
             self.texts.join(sized(reps, 16), self.texts.id == reps.rep, "left_semi").select("id", "text")
@@ -312,12 +274,12 @@ class _Comparison:
                 reach = (n - np.arange(len(head))) * (100 + percent) // percent - n
                 columns = [head.view(np.int64), np.full(len(head), rep), np.full(len(head), n), reach]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, pa.int64()) for c in columns], names=["bucket", "rep", "n", "reach"]
+                    [pa.array(c, pa.int64()) for c in columns], names=["bucket", "rep", "n", "n_reach"]
                 )
 
-        rows = settled(map_batches(texts, rarest, "bucket bigint, rep bigint, n bigint, reach bigint"))
-        least = rows.groupBy("bucket").agg(F.min("n").alias("least"), F.max("reach").alias("most"))
-        return rows.join(least, "bucket").where("least <= reach AND n <= most").drop("least", "most")
+        rows = settled(map_batches(texts, rarest, "bucket bigint, rep bigint, n bigint, n_reach bigint"))
+        least = rows.groupBy("bucket").agg(F.min("n").alias("least"), F.max("n_reach").alias("most"))
+        return rows.join(least, "bucket").where("least <= n_reach AND n <= most").drop("least", "most")
 
     def links(self, pairs: DataFrame) -> DataFrame:
         """Those of the pairs ``(a, b)`` that reach the threshold."""
@@ -346,4 +308,4 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pe
     gone = near_duplicates(docs, id_col, text_col, percent).where("NOT kept").select(
         F.col("doc_id").alias("__gone")
     ).distinct()
-    return docs.join(gone, docs[id_col] == F.col("__gone"), "left_anti")
+    return docs.join(sized(settled(gone), 16), docs[id_col] == F.col("__gone"), "left_anti")

@@ -18,7 +18,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jobweft.llm.common import map_batches, text_bytes
+from jobweft.llm.common import map_batches, settled, text_bytes
 
 #: Bytes of one compressed piece: a dictionary helps most at a text's beginning, so
 #: a long text is compressed in pieces, all of it.
@@ -111,34 +111,39 @@ def _piece_table(labelled: DataFrame, text_col: str) -> DataFrame:
     return map_batches(labelled.select("id", "label", text_col), cut, "id bigint, label int, n bigint, piece binary")
 
 
-def train(labelled: DataFrame, text_col: str = "text", seed: int = 1) -> CompressionModel:
-    """Fit on ``labelled(id, label, text)`` with labels 0 and 1.
+def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", seed: int = 1) -> CompressionModel:
+    """Fit on the texts of ``docs`` that ``labels(id, label)`` marks 0 or 1.
 
-    The dictionaries are built from ``TRAIN_PIECES`` pieces of each label and the
-    curve is fitted on ``TRAIN_ROWS`` rows, both chosen by a hash: these bounds, not
-    the table, decide what comes to the driver (some 25 MB of pieces, and numbers).
-    Rows with another or no label, or no text, teach nothing. Without any labelled
-    row all scores are one half.
+    ``TRAIN_ROWS`` labels are chosen by a hash before any text is read, so their
+    texts need no shuffle. Half of them give ``TRAIN_PIECES`` pieces of each label
+    for the dictionaries, the other half the points of the curve. These bounds, not
+    the tables, decide what comes to the driver (some 25 MB of pieces, and numbers).
+    Other labels, and rows without text, teach nothing. Without any labelled row all
+    scores are one half.
     """
-    usable = labelled.where(F.col("label").isin(0, 1)).select(
-        F.col("id").cast("bigint").alias("id"), F.col("label").cast("int").alias("label"), F.col(text_col).alias("text")
-    ).where("text IS NOT NULL")
-    cut = _piece_table(usable, "text")
+    chosen = settled(
+        labels.where(F.col("label").isin(0, 1) & F.col("id").isNotNull())
+        .select(F.col("id").cast("bigint").alias("id"), F.col("label").cast("int").alias("label"))
+        .orderBy(F.xxhash64(F.lit(seed), "id"), "id", "label").limit(TRAIN_ROWS)
+    )
+    rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text")).where("text IS NOT NULL")
+    usable = rows.join(F.broadcast(chosen), "id")
+    first_half = F.pmod(F.xxhash64(F.lit(seed + 1), "id"), F.lit(2)) == 0
+    cut = _piece_table(usable.where(first_half), "text")
     kept = []
     for label in (1, 0):
-        chosen = (
+        some = (
             cut.where(F.col("label") == label)
             .orderBy(F.xxhash64(F.lit(seed), "id", "n"), "piece").limit(TRAIN_PIECES).select("piece").toArrow()
         )
-        kept.append(build_dictionary([bytes(p) for p in chosen.column("piece").to_pylist()]))
+        kept.append(build_dictionary([bytes(p) for p in some.column("piece").to_pylist()]))
     model = CompressionModel(*kept)
 
     def measure(batch: pa.RecordBatch):
         values = [model.margin(t) for t in text_bytes(batch, "text")]
-        yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array(values)], names=["label", "margin"])
+        yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array(values, pa.float64())], names=["label", "margin"])
 
-    rows = usable.orderBy(F.xxhash64(F.lit(seed), "id"), "text").limit(TRAIN_ROWS)
-    points = map_batches(rows.select("label", "text"), measure, "label int, margin double").toArrow()
+    points = map_batches(usable.where(~first_half).select("label", "text"), measure, "label int, margin double").toArrow()
     slope, offset = fit_logistic(
         points.column("margin").to_numpy(), points.column("label").to_numpy().astype(float)
     )
