@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobweft.catalog.inputs import TERMS, TOPICS, hits_cte, spread, table
+from jobweft.catalog.inputs import TERMS, TOPICS, hits_cte, table
 from jobweft.operators.constraints import check_records, split_quarantine
 from jobweft.operators.dictionary import AliasDictionary, load_dictionaries
 from jobweft.operators.enrich import enrich_jobs
@@ -72,7 +72,7 @@ def _read(runs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _object_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spread(table(spark, sf_dir, "documents"))
+    docs = table(spark, sf_dir, "documents")
     is_fr, is_de, is_en = (F.col("lang") == lang for lang in ("fr", "de", "en"))
     mode = F.when(is_fr, F.array(F.lit("Hybrid"), F.lit("On site"))).otherwise(F.array(F.lit("?")))
     text = F.struct(
@@ -133,7 +133,7 @@ FROM d
 
 
 def _list_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spread(table(spark, sf_dir, "documents"))
+    docs = table(spark, sf_dir, "documents")
     is_en = F.col("lang") == "en"
     job = F.struct(
         F.when(F.col("n_chars") > 100, F.concat(F.lit(" L"), F.col("doc_id").cast("string"))).alias("id"),
@@ -188,7 +188,7 @@ FROM d WHERE lang <> 'de'
 
 
 def _flagged_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spread(table(spark, sf_dir, "documents"))
+    docs = table(spark, sf_dir, "documents")
     job = F.struct(
         F.col("doc_id").alias("id"),
         _title().alias("title"),
@@ -242,12 +242,12 @@ FROM c
 
 def payload_run_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Runs whose payload is not what their adapter expects."""
-    docs = spread(table(spark, sf_dir, "documents"))
+    docs = table(spark, sf_dir, "documents")
     payload = (
         F.when(F.col("lang") == "en", F.lit('{"jobs":[{"id":1},2]}'))
         .when(F.col("lang") == "fr", F.lit('{"jobs":{"id":1}}'))
         .when(F.col("lang") == "de", F.lit("[]"))
-        .otherwise(F.substring("text", 1, 2_000_000_000))
+        .otherwise(F.col("text"))
     )
     runs = _runs(docs, "greenhouse", payload)
     for adapter in ("lever", "ashby"):

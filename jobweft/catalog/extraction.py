@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobweft.catalog.inputs import spread, table
+from jobweft.catalog.inputs import table
 from jobweft.functions import json_values as jv
 from jobweft.functions.hours import hours_error, hours_phrase, parse_hours
 from jobweft.functions.money import amount, amount_is_bad, salary_period
@@ -32,9 +32,9 @@ def hours_extract_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("l_linestatus") == "O", F.concat(F.lit("od "), q, F.lit(" až "), q * 17, F.lit(" hodin / month")))
         .otherwise(F.concat(F.lit("From "), q * 2, F.lit(" to "), q, F.lit("hours a day or more")))
     )
-    items = spread(table(spark, sf_dir, "lineitem").select(
+    items = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus", "l_tax"
-    ))
+    )
     read = items.select(
         "l_orderkey", "l_linenumber", F.when(F.col("l_tax") > 0, sentence).otherwise("none").alias("s")
     ).withColumn("h", parse_hours(hours_phrase(F.col("s"))))
@@ -138,7 +138,7 @@ END AS BIGINT) AS micros FROM events
 
 
 def text_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return docs.select("doc_id", content_fingerprint(F.col("text")).alias("content_fingerprint"))
 
 
@@ -149,7 +149,7 @@ FROM documents
 
 
 def html_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = spread(table(spark, sf_dir, "pages").select("page_id", "html"))
+    pages = table(spark, sf_dir, "pages").select("page_id", "html")
     return pages.select(
         "page_id",
         F.length(normalized_content(F.col("html"))).alias("text_length"),
@@ -229,7 +229,7 @@ def json_props_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit('{"k":'), F.get_json_object("props", "$.k"), F.lit(',"list":["a \\"b\\"",{"z":true,"a":null},'),
         F.col("user_id").cast("string"), F.lit('],"none":null,"word":"'), F.col("event_type"), F.lit('"}'),
     )
-    events = spread(table(spark, sf_dir, "events")).withColumn("doc", nested)
+    events = table(spark, sf_dir, "events").withColumn("doc", nested)
     read = jv.with_members(events, "doc", "k", "list", "none", "word", "absent")
     k, items, none, word, absent = (jv.Member(n) for n in ("k", "list", "none", "word", "absent"))
     return read.select(

@@ -15,17 +15,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(rows: DataFrame) -> DataFrame:
-    """Rows spread over all cores when they come in fewer files than there are cores.
-
-    A file of one row group is one task, however many cores there are, which shows
-    when each row takes long. A table of many files is left as it is: it needs no
-    shuffle.
-    """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores) if len(rows.inputFiles()) < cores else rows
-
-
 TERMS = AliasDictionary(
     "terms",
     [

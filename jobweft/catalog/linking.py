@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobweft.catalog.inputs import spread, table
+from jobweft.catalog.inputs import table
 from jobweft.functions.text import content_fingerprint
 from jobweft.operators.canonical import assign_canonical, fallback_candidates
 from jobweft.session import cut_lineage
@@ -15,7 +15,7 @@ _FINGERPRINT = "sha256(replace(lower(trim(regexp_replace(text, '\\s+', ' ', 'g')
 
 def canonical_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Copies of a document within a language share the first one's canonical."""
-    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "lang", "text"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
     new = docs.select(
         F.col("doc_id").cast("string").alias("posting_key"),
         F.col("lang").alias("company"),
@@ -42,7 +42,7 @@ def canonical_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
     Language is the company, source the role, the label of toxicity the seniority
     and the length class of the text its set of locations.
     """
-    docs = spread(table(spark, sf_dir, "documents"))
+    docs = table(spark, sf_dir, "documents")
     docs = docs.join(table(spark, sf_dir, "labels"), "doc_id", "left")
     places = (
         F.when(F.col("n_chars") < 400, F.array().cast("array<string>"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobweft.catalog.inputs import TERMS, hits_cte, spread, table
+from jobweft.catalog.inputs import TERMS, hits_cte, table
 from jobweft.functions.text import slug
 from jobweft.operators.dictionary import key_tokens
 from jobweft.plans.quality import canonical_issues, count_mismatches, run_counts
@@ -20,7 +20,7 @@ from jobweft.plans.seeds import missing_seeds
 
 def report_top_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents per term found in their text."""
-    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = docs.withColumn("_keys", key_tokens("text", [TERMS])).select(
         F.explode(TERMS.find_all("text", "_keys")).alias("term")
     )
@@ -177,7 +177,7 @@ def detail_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
     )
     sources = orders.select(F.col("o_orderpriority").alias("source_key")).distinct()
-    sources = sources.withColumn("name", F.substring("source_key", 3, 20))
+    sources = sources.withColumn("name", F.regexp_replace("source_key", r"^\d-", ""))
     detail = posting_detail(postings, sources)
     at = [c for c, t in detail.dtypes if t == "timestamp"]
     money = [c for c, t in detail.dtypes if t.startswith("decimal")]

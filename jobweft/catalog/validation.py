@@ -89,7 +89,7 @@ def ledger_constraints(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("o_orderstatus") == "P", "halted").otherwise("processed").alias("status"),
         F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_totalprice") - 20000).cast("int").alias("record_count"),
         (F.col("o_totalprice") - 10000).cast("int").alias("processed_records"),
-        F.substring("o_orderpriority", 3, 20).alias("match_method"),
+        F.regexp_replace("o_orderpriority", r"^\d-", "").alias("match_method"),
     )
     rules = {**run_constraints(), **link_constraints()}
     return (

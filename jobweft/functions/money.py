@@ -21,8 +21,8 @@ def salary_period(text: Column) -> Column:
 
 
 def amount(text: Column) -> Column:
-    """Exact decimal, NULL when absent or not a number."""
-    return strip(text).try_cast("decimal(38,10)")
+    """Amount in hundredths, rounded once; NULL when absent or not a number."""
+    return strip(text).try_cast("decimal(38,2)")
 
 
 def amount_is_bad(text: Column) -> Column:

@@ -57,8 +57,7 @@ def run_outcomes(runs: DataFrame, records: DataFrame, errors: DataFrame) -> Data
     """
     good = records.groupBy(*_RUN).agg(F.count("*").alias("_good"))
     bad = errors.groupBy(*_RUN).agg(
-        F.count("*").alias("_bad"),
-        F.count_if(F.col("stage") == "database").alias("_bad_late"),
+        F.count("*").alias("_bad")
     )
     ordered = errors.withColumn("_late", (F.col("stage") == "database").cast("int"))
     messages = error_summaries(ordered, _RUN, ["_late", "pos"]).withColumnRenamed(
@@ -87,7 +86,7 @@ def run_outcomes(runs: DataFrame, records: DataFrame, errors: DataFrame) -> Data
             "processed_records",
             F.when(F.col("status") == "failed", 0).otherwise(F.col("_good")).cast("int"),
         )
-        .drop("_good", "_bad", "_bad_late", "_messages", "run_error")
+        .drop("_good", "_bad", "_messages", "run_error")
     )
 
 

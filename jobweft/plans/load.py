@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobweft import PARSER_VERSION
@@ -106,14 +107,20 @@ def load_runs(
     """Process every run not done yet and commit the result; returns the counters.
 
     Replaying a load changes nothing: finished runs are skipped, postings are keyed
-    by board and job id, and a link once made stays.
+    by board and job id, and a link once made stays. Postings, ledger and errors
+    become visible together by one commit; a load that dies before it leaves no trace
+    but folders that nobody reads. Runs that cannot be registered are counted as
+    ``rejected``, leave an error row with their path, and make the exit code 1.
     """
     rules = rules or Rules()
     dimensions = seed_dimensions(spark, tables, rules)
     ledger = tables.ledger()
-    # A run is keyed by (source_id, run_id); one without them cannot be registered.
-    named = discovered.where(F.col("source_id").isNotNull() & F.col("run_id").isNotNull())
-    attributed = attribute_runs(named, boards_frame(spark, rules.boards))
+    # One time stands for the whole load, also for runs that do not say theirs.
+    now = F.lit(datetime.now(timezone.utc))
+    named, rejected = split_runs(discovered)
+    rejected = cut_lineage(rejected)
+    timed = named.withColumn("retrieved_at", F.coalesce("retrieved_at", now))
+    attributed = attribute_runs(timed, boards_frame(spark, rules.boards))
     todo = runs_to_process(attributed, ledger, retry_partial=retry_partial)
     good, bad, seen_runs = parse_runs(todo, rules, dimensions)
 
@@ -128,7 +135,7 @@ def load_runs(
         advance_ledger(ledger, outcomes, PARSER_VERSION).select(*LEDGER)
     )
 
-    batch = _as_postings(good)
+    batch = _as_postings(good, now)
     touched = batch.select("source_key").unionByName(outcomes.select("source_key")).distinct()
     touched = cut_lineage(touched)
     before = tables.postings()
@@ -140,19 +147,46 @@ def load_runs(
     version = tables.next_version()
     tables.write_postings(linked.select(*POSTINGS), version)
     tables.write_whole("ledger", ledger_after, version)
-    tables.append(
-        "errors",
-        link_errors(bad, ledger_after).withColumn("created_at", F.current_timestamp()).select(*ERRORS),
+    problems = link_errors(bad, ledger_after).unionByName(
+        rejected.select(
+            "source_id", "run_id", F.lit(None).cast("string").alias("source_job_id"), F.lit("metadata").alias("stage"),
+            F.lit("RejectedRun").alias("error_type"),
+            F.concat("raw_path", F.lit(": "), F.coalesce("run_error", F.lit("run cannot be keyed"))).alias("error_message"),
+        )
     )
+    tables.write_errors(problems.withColumn("created_at", now).select(*ERRORS), version)
     parts = touched.select(F.lit("postings").alias("table_name"), F.col("source_key").alias("part"))
-    summary = cut_lineage(load_summary(discovered, outcomes))
-    tables.commit(parts.unionByName(whole("ledger", spark)), version)
+    turned_away = rejected.count()
+    counted = load_summary(named, outcomes)
+    summary = cut_lineage(
+        counted.withColumn("discovered", F.col("discovered") + turned_away)
+        .withColumn("exit_code", F.when(F.lit(turned_away > 0), 1).otherwise(F.col("exit_code")))
+        .withColumn("rejected", F.lit(turned_away))
+    )
+    for name in ("ledger", "errors"):
+        parts = parts.unionByName(whole(name, spark))
+    tables.commit(parts, version)
     return summary
 
 
-def _as_postings(good: DataFrame) -> DataFrame:
-    now = F.current_timestamp()
-    seen = F.coalesce("retrieved_at", now)
+def split_runs(discovered: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Runs that can be registered, and (without payload) those that cannot.
+
+    A run is keyed by source and run id. One without them is rejected; so is a run
+    found in a second folder, where the first by path counts.
+    """
+    keyed = F.col("source_id").isNotNull() & F.col("run_id").isNotNull()
+    facts = discovered.drop("payload")
+    places = facts.where(keyed).groupBy(*_RUN).agg(F.min("raw_path").alias("raw_path"))
+    again = facts.where(keyed).join(places, [*_RUN, "raw_path"], "left_anti").withColumn(
+        "run_error", F.lit("The same run was found in another folder")
+    )
+    named = discovered.where(keyed).join(places, [*_RUN, "raw_path"], "left_semi").select(discovered.columns)
+    return named, facts.where(~keyed).unionByName(again.select(facts.columns))
+
+
+def _as_postings(good: DataFrame, now: Column) -> DataFrame:
+    seen = F.col("retrieved_at")
     fresh = {
         "posting_key": posting_key(F.col("source_key"), F.col("source_job_id")),
         "retrieved_at": seen,

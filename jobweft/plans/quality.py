@@ -110,7 +110,7 @@ def run_checks(
             found = check.violations(tables).count() if check.violations else 0
             message = f"{found} violations" if found else None
         except (PySparkException, KeyError) as error:
-            found, message = None, str(error)[:2000]
+            found, message = None, str(error)
         results.append((name, found == 0, found, message))
     failed = [name for name, passed, *_ in results if not passed]
     if strict and failed:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 #: Adaptive execution splits hot join partitions and coalesces small ones; the
@@ -17,6 +15,8 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Files of checkpoints that nothing refers to any more are deleted.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -33,18 +33,13 @@ def build_session(app_name: str = "jobweft", master: str | None = None, **conf:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint folder, taking it from ``spark.checkpoint.dir``.
 
-    Only a local master without that setting gets a folder of its own.
+    Where that is not set, a folder in the warehouse serves, which driver and
+    executors share on a cluster as well.
     """
     context = spark.sparkContext
-    current = context.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        if not context.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a folder shared by all executors")
-        configured = tempfile.mkdtemp(prefix="jobweft-checkpoint-")
-    context.setCheckpointDir(configured)
+    if not context.getCheckpointDir():
+        warehouse = spark.conf.get("spark.sql.warehouse.dir")
+        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", f"{warehouse}/_checkpoints"))
     return context.getCheckpointDir()
 
 

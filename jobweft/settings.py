@@ -28,6 +28,7 @@ class Board:
     adapter_id: str
     source_key: str
     company: str
+    enabled: bool = True
 
 
 def load_hour_limits(path: Path | str = DEFAULT_SETTINGS) -> HourLimits:
@@ -45,9 +46,8 @@ def load_hour_limits(path: Path | str = DEFAULT_SETTINGS) -> HourLimits:
 
 def load_boards(path: Path | str = DEFAULT_SETTINGS) -> list[Board]:
     return [
-        Board(b["adapter_id"], b.get("source_key", b["adapter_id"]), b["company"])
+        Board(b["adapter_id"], b.get("source_key", b["adapter_id"]), b["company"], b.get("enabled", True))
         for b in _toml(path).get("boards", [])
-        if b.get("enabled", True)
     ]
 
 

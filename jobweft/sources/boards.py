@@ -5,17 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from jobweft.functions.text import optional_text
+
 
 def attribute_runs(runs: DataFrame, boards: DataFrame) -> DataFrame:
     """Add ``source_key``; a run of a foreign source gets a ``run_error``.
 
     The source in the metadata is a board key or just the adapter. For the
     adapter, the key named in the context counts, then the first board of that
-    company, then the adapter itself.
+    company (trimmed), then the adapter itself. Boards that are no longer fetched
+    count too: their waiting runs belong to them.
     """
     by_key = boards.select("adapter_id", F.col("source_key").alias("source_id")).distinct()
     by_key = by_key.withColumn("_known", F.lit(True))
-    by_company = boards.groupBy("adapter_id", F.col("company").alias("context_company")).agg(
+    by_company = boards.groupBy("adapter_id", F.col("company").alias("_company")).agg(
         F.min_by("source_key", "board_ord").alias("_company_key")
     )
     is_adapter = F.col("source_id") == F.col("adapter_id")
@@ -25,7 +28,8 @@ def attribute_runs(runs: DataFrame, boards: DataFrame) -> DataFrame:
     )
     return (
         runs.join(by_key, ["adapter_id", "source_id"], "left")
-        .join(by_company, ["adapter_id", "context_company"], "left")
+        .withColumn("_company", optional_text(F.col("context_company")))
+        .join(by_company, ["adapter_id", "_company"], "left")
         .withColumn(
             "run_error",
             F.coalesce("run_error", F.when(F.col("_known").isNull() & ~is_adapter, mismatch)),
@@ -36,5 +40,5 @@ def attribute_runs(runs: DataFrame, boards: DataFrame) -> DataFrame:
                 F.coalesce("context_source_key", "_company_key", "adapter_id")
             ),
         )
-        .drop("_known", "_company_key")
+        .drop("_known", "_company", "_company_key")
     )

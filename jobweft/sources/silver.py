@@ -3,12 +3,17 @@
 Postings are rewritten board by board: a load writes a new version of the boards
 it touched and then appends one row per board to the ``commits`` table. Readers
 take the newest committed version of each board, so a load that dies half-way
-leaves no posting visible and old versions stay readable. The ledger keeps one
-version for the whole table; errors and dimensions are append-only.
+leaves nothing visible and old versions stay readable. The ledger keeps one
+version for the whole table; errors are added version by version. All of them
+become visible by the rows of one commit. A version's name ends in an id of its
+own, so a second attempt never writes into the folders of one that died, nor two
+loads into each other's. Dimensions are append-only.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
@@ -16,7 +21,7 @@ from pyspark.errors import AnalysisException
 from jobweft.plans.seeds import DIMENSIONS
 from jobweft.schemas import ERRORS, LEDGER, POSTINGS, ddl
 
-_COMMITS = "table_name string, part string, version bigint, committed_at timestamp"
+_COMMITS = "table_name string, part string, version string, committed_at timestamp"
 _WHOLE = "*"
 
 
@@ -42,7 +47,10 @@ class SilverTables:
         return self._read_whole("ledger", ddl(LEDGER))
 
     def errors(self) -> DataFrame:
-        return self._read_folder("errors", ddl(ERRORS))
+        """Errors of all committed loads."""
+        table = self._read_folder("errors", f"{ddl(ERRORS)}, version string")
+        committed = self._commits().where(F.col("table_name") == "errors").select("version").distinct()
+        return table.join(committed, "version", "left_semi").drop("version")
 
     def dimensions(self) -> DataFrame:
         return self._read_folder("dimensions", DIMENSIONS)
@@ -63,11 +71,13 @@ class SilverTables:
             "canonicals": self.canonicals(),
         }
 
-    def next_version(self) -> int:
+    def next_version(self) -> str:
+        """Name of a new version: above all committed ones, and used by nobody else."""
         newest = self._commits().agg(F.max("version")).first()[0]
-        return (newest or 0) + 1
+        number = int(newest.partition("-")[0]) if newest else 0
+        return f"{number + 1:012d}-{uuid.uuid4().hex}"
 
-    def write_postings(self, postings: DataFrame, version: int) -> None:
+    def write_postings(self, postings: DataFrame, version: str) -> None:
         """Write a new version of every board in ``postings``.
 
         The rebalance hint lets adaptive execution gather small boards in few files
@@ -80,18 +90,21 @@ class SilverTables:
             .parquet(f"{self.root}/postings")
         )
 
-    def write_whole(self, name: str, table: DataFrame, version: int) -> None:
+    def write_whole(self, name: str, table: DataFrame, version: str) -> None:
         table.withColumn("version", F.lit(version)).write.mode("append").partitionBy("version").parquet(
             f"{self.root}/{name}"
         )
 
+    def write_errors(self, errors: DataFrame, version: str) -> None:
+        self.write_whole("errors", errors, version)
+
     def append(self, name: str, rows: DataFrame) -> None:
         rows.write.mode("append").parquet(f"{self.root}/{name}")
 
-    def commit(self, parts: DataFrame, version: int) -> None:
+    def commit(self, parts: DataFrame, version: str) -> None:
         """Make ``parts`` (table_name, part) of a version visible, all at once."""
         (
-            parts.withColumn("version", F.lit(version).cast("bigint"))
+            parts.withColumn("version", F.lit(version))
             .withColumn("committed_at", F.current_timestamp())
             .coalesce(1)
             .write.mode("append")
@@ -103,7 +116,7 @@ class SilverTables:
 
     def _read_parts(self, name: str, part: str, schema: str) -> DataFrame:
         """Current parts of a table; the commit rows prune its folders at run time."""
-        table = self._read_folder(name, f"{schema}, version bigint")
+        table = self._read_folder(name, f"{schema}, version string")
         current = (
             self._commits()
             .where(F.col("table_name") == name)
@@ -113,7 +126,7 @@ class SilverTables:
         return table.join(current, [part, "version"]).drop("version")
 
     def _read_whole(self, name: str, schema: str) -> DataFrame:
-        table = self._read_folder(name, f"{schema}, version bigint")
+        table = self._read_folder(name, f"{schema}, version string")
         current = (
             self._commits().where(F.col("table_name") == name).agg(F.max("version").alias("version"))
         )
