@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 
 from jobweft.llm.common import settled, sized
 
-#: Samples of a fingerprint, and how many of them one row of the computation carries.
-SAMPLES, TOGETHER = 32, 1
+#: Samples of a fingerprint.
+SAMPLES = 32
 
 #: Ids that are sorted together when the next document is looked up.
 NEIGHBOURS = 256
@@ -26,21 +26,38 @@ def _uniform(bits: Column, first: int, width: int) -> Column:
     return (F.shiftrightunsigned(bits, first).bitwiseAND(F.lit((1 << width) - 1)) + F.lit(0.5)) / F.lit(float(1 << width))
 
 
-def sample_value(term: Column, counts: list[Column], draw: Column) -> list[Column]:
-    """For each count the cost of the term's cell, with the cell's identity in the low 24 bits."""
-    one = F.xxhash64(term, draw)
-    two = F.xxhash64(one)
-    size = -F.log(_uniform(one, 0, 21) * _uniform(one, 21, 21))
-    shift = _uniform(one, 42, 22)
-    cost = F.log(-F.log(_uniform(two, 0, 32) * _uniform(two, 32, 32)))
-    values = []
-    for count in counts:
-        cell = F.floor(F.log(count) / size + shift)
-        log_cost = cost - size * (cell - shift) - size
-        scaled = ((log_cost + 128.0) * float(1 << 30)).cast("bigint")
+def least_costs(counted: DataFrame, keys: list[str], weights: list[str]) -> DataFrame:
+    """Least cost per ``keys`` and ``round``, one column ``v0, v1, ...`` for each weight column.
+
+    A value holds the cost of a term's cell, and the cell's identity in its low 24
+    bits. The logarithm of a weight is taken once for all draws, and a draw's random
+    numbers once for all weights; a weight of 0 has no logarithm and no value.
+    """
+    logs = counted.select(*keys, "term", *[F.when(F.col(w) > 0, F.log(w)).alias(f"l_{w}") for w in weights])
+    drawn = (
+        logs.withColumn("round", F.explode(F.sequence(F.lit(0), F.lit(SAMPLES - 1))))
+        .withColumn("one", F.xxhash64("term", "round"))
+        .withColumn("two", F.xxhash64("one"))
+    )
+    one, two = F.col("one"), F.col("two")
+    random = drawn.withColumns(
+        {
+            "size": -F.log(_uniform(one, 0, 21) * _uniform(one, 21, 21)),
+            "shift": _uniform(one, 42, 22),
+            "cost": F.log(-F.log(_uniform(two, 0, 32) * _uniform(two, 32, 32))),
+        }
+    )
+    size, shift, cost = F.col("size"), F.col("shift"), F.col("cost")
+    cells = random.withColumns({f"c_{w}": F.floor(F.col(f"l_{w}") / size + shift) for w in weights})
+    values = {}
+    for n, w in enumerate(weights):
+        cell = F.col(f"c_{w}")
+        scaled = ((cost - size * (cell - shift) - size + 128.0) * float(1 << 30)).cast("bigint")
         identity = F.xxhash64(two, cell).bitwiseAND(F.lit((1 << 24) - 1))
-        values.append(F.when(count > 0, F.shiftleft(scaled, 24).bitwiseOR(identity)))
-    return values
+        values[f"v{n}"] = F.shiftleft(scaled, 24).bitwiseOR(identity)
+    return cells.select(*keys, "round", *[v.alias(c) for c, v in values.items()]).groupBy(*keys, "round").agg(
+        *[F.min(c).alias(c) for c in values]
+    )
 
 
 def weighted_samples(texts: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
@@ -61,28 +78,15 @@ def weighted_samples(texts: DataFrame, keys: list[str], columns: list[str]) -> D
     counted = words.groupBy(*keys, "term").agg(
         *[F.sum((F.col("side") == n).cast("bigint")).alias(f"w{n}") for n in range(len(columns))]
     )
-    drawn = counted.withColumn("round", F.explode(F.sequence(F.lit(0), F.lit(SAMPLES // TOGETHER - 1))))
-    costs = {}
-    for k in range(TOGETHER):
-        for n, value in enumerate(
-            sample_value(F.col("term"), [F.col(f"w{n}") for n in range(len(columns))], F.col("round") * TOGETHER + k)
-        ):
-            costs[f"v{n}_{k}"] = value
-    least = drawn.select(*keys, "round", *[v.alias(c) for c, v in costs.items()]).groupBy(*keys, "round").agg(
-        *[F.min(c).alias(c) for c in costs]
-    )
+    least = least_costs(counted, keys, [f"w{n}" for n in range(len(columns))])
     rounds = least.groupBy(*keys).agg(
-        F.array_sort(
-            F.collect_list(
-                F.struct("round", *[F.array(*[f"v{n}_{k}" for k in range(TOGETHER)]).alias(f"s{n}") for n in range(len(columns))])
-            )
-        ).alias("rounds")
+        F.array_sort(F.collect_list(F.struct("round", *[f"v{n}" for n in range(len(columns))]))).alias("rounds")
     )
     return rounds.select(
         *keys,
         *[
             F.transform(
-                F.flatten(F.col(f"rounds.s{n}")),
+                F.col(f"rounds.v{n}"),
                 lambda v: F.when(v.isNotNull(), F.xxhash64(v).bitwiseAND(F.lit(0xFFFFFFFF))),
             ).alias(f"samples_{n}")
             for n in range(len(columns))
