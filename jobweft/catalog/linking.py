@@ -107,12 +107,10 @@ FROM links JOIN p ON p.k = l.k WHERE NOT p.is_linked
 def canonical_fallback_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers in building as new postings, all others as linked ones.
 
-    The set of order priorities stands for the locations.
+    The set of priorities of a customer's orders stands for the locations.
     """
-    orders = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey"), "o_orderpriority", "o_orderstatus")
-    sets = orders.groupBy("c_custkey").agg(
-        F.collect_set(F.when(F.col("o_orderstatus") == "F", F.substring("o_orderpriority", 1, 1))).alias("locations")
-    )
+    orders = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey"), "o_orderpriority")
+    sets = orders.groupBy("c_custkey").agg(F.collect_set("o_orderpriority").alias("locations"))
     customers = table(spark, sf_dir, "customer").join(sets, "c_custkey", "left").select(
         F.col("c_custkey").cast("string").alias("posting_key"),
         F.lit("all").alias("company"),
@@ -130,8 +128,8 @@ CANONICAL_FALLBACK_CANDIDATES = """
 WITH c AS (
   SELECT c_custkey AS k, c_nationkey AS role, c_mktsegment AS seg,
     CASE WHEN c_acctbal > 6000 THEN 'rich' WHEN c_acctbal < 0 THEN 'poor' END AS lvl,
-    (SELECT string_agg(DISTINCT substr(o_orderpriority, 1, 1), '' ORDER BY substr(o_orderpriority, 1, 1))
-     FROM orders WHERE o_custkey = c_custkey AND o_orderstatus = 'F') AS places
+    (SELECT string_agg(DISTINCT o_orderpriority, '|' ORDER BY o_orderpriority)
+     FROM orders WHERE o_custkey = c_custkey) AS places
   FROM customer
 )
 SELECT CAST(n.k AS VARCHAR) AS posting_key, MIN(l.seg) AS c_low, MAX(l.seg) AS c_high

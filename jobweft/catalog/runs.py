@@ -20,6 +20,7 @@ from jobweft.operators.ledger import (
 )
 from jobweft.operators.upsert import deactivate_missing, snapshot_cutoffs, upsert
 from jobweft.sources.boards import attribute_runs
+from jobweft.sources.bronze import parse_run_metadata
 
 _RUNS_SQL = """
 runs AS (SELECT event_type AS source_id, strftime(ts, '%Y-%m-%d') AS run_id, COUNT(*) AS n
@@ -133,7 +134,7 @@ FROM outcomes
 
 
 def ledger_advance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ledger of the first ten days after the outcomes of days six to twenty."""
+    """Ledger of the first ten days after the outcomes of all days from the sixth on."""
     runs, good, errors = _events_as_runs(spark, sf_dir)
     outcomes = run_outcomes(runs, good, errors)
     at = F.to_timestamp(F.lit("2020-01-01"))
@@ -143,7 +144,7 @@ def ledger_advance(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("v1").alias("parser_version"), F.lit("old").alias("error_message"),
         at.alias("processing_started_at"), at.alias("processed_at"), at.alias("created_at"), at.alias("updated_at"),
     )
-    new = outcomes.where(F.col("run_id").between("2024-01-06", "2024-01-20"))
+    new = outcomes.where(F.col("run_id") >= "2024-01-06")
     after = advance_ledger(old, new, "v2")
     return after.select(
         "source_id", "run_id", "status", "processed_records", "parser_version", "error_message",
@@ -158,7 +159,7 @@ WITH {_OUTCOMES_SQL},
 o AS (SELECT source_id, run_id, status, CASE WHEN status = 'failed' THEN 0 ELSE good END AS processed,
   CASE WHEN top > 200 THEN 'no list' WHEN status = 'failed' THEN COALESCE(msg, 'No records were processed')
     WHEN status = 'partial' THEN COALESCE(msg, 'Some records were not processed') END AS message,
-  run_id <= '2024-01-10' AS known, run_id BETWEEN '2024-01-06' AND '2024-01-20' AS tried FROM outcomes)
+  run_id <= '2024-01-10' AS known, run_id >= '2024-01-06' AS tried FROM outcomes)
 SELECT source_id, run_id, CASE WHEN tried THEN status ELSE 'failed' END AS status,
   CAST(CASE WHEN tried THEN processed ELSE 0 END AS INTEGER) AS processed_records,
   CASE WHEN tried AND status <> 'failed' THEN 'v2' WHEN known THEN 'v1' END AS parser_version,
@@ -169,6 +170,35 @@ FROM o WHERE known OR tried
 """
 
 
+def run_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Run fields and problems read from one metadata text per event, some of them damaged."""
+    kind = F.col("event_id") % 7
+    written = F.to_json(
+        F.struct(
+            F.when(kind != 1, F.concat(F.lit(" run"), "event_id", F.lit(" "))).alias("run_id"),
+            F.when(kind != 2, F.col("event_type")).alias("source_id"),
+            F.when(kind == 3, F.lit("many")).otherwise(F.floor("value").cast("string")).alias("record_count"),
+            F.struct(F.concat(F.lit("user "), "user_id").alias("company")).alias("context"),
+        )
+    )
+    text = F.when(kind == 4, F.concat(F.lit("{"), written)).when(kind == 5, F.concat(F.lit("["), written, F.lit("]"))).otherwise(written)
+    read = parse_run_metadata(table(spark, sf_dir, "events").select("event_id", text.alias("metadata")), F.col("metadata"))
+    return read.select("event_id", "source_id", "run_id", "record_count", "context_company", "run_error")
+
+
+RUN_METADATA = """
+SELECT event_id,
+  CASE WHEN event_id % 7 NOT IN (2, 4, 5) THEN event_type END AS source_id,
+  CASE WHEN event_id % 7 NOT IN (1, 4, 5) THEN 'run' || event_id END AS run_id,
+  CASE WHEN event_id % 7 NOT IN (3, 4, 5) THEN CAST(floor(value) AS INTEGER) END AS record_count,
+  CASE WHEN event_id % 7 NOT IN (4, 5) THEN 'user ' || user_id END AS context_company,
+  CASE event_id % 7 WHEN 1 THEN 'Metadata field is missing: run_id' WHEN 2 THEN 'Metadata field is missing: source_id'
+    WHEN 3 THEN 'Metadata field is no number: record_count' WHEN 4 THEN 'Metadata must be a JSON object'
+    WHEN 5 THEN 'Metadata must be a JSON object' END AS run_error
+FROM events
+"""
+
+
 def load_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counters of a load over the days from the sixth on."""
     runs, good, errors = _events_as_runs(spark, sf_dir)
@@ -305,6 +335,7 @@ QUERIES = {
     "ledger_incremental": (ledger_incremental, LEDGER_INCREMENTAL),
     "run_outcome": (run_outcome, RUN_OUTCOME),
     "ledger_advance": (ledger_advance, LEDGER_ADVANCE),
+    "run_metadata": (run_metadata, RUN_METADATA),
     "load_counters": (load_counters, LOAD_COUNTERS),
     "error_history": (error_history, ERROR_HISTORY),
     "board_attribution": (board_attribution, BOARD_ATTRIBUTION),
