@@ -17,7 +17,7 @@ from jobweft.session import cut_lineage
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
 #: Bytes of text that one vectorised step works on.
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 
 U64 = np.uint64
 
