@@ -49,7 +49,7 @@ SELECT doc_id, n_shingles, component_id, kept FROM grouped
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of nearly equal lines of all documents, and which line is kept."""
-    return line_dedup.line_groups(table(spark, sf_dir, "documents"))
+    return line_dedup.similar_lines(table(spark, sf_dir, "documents"))
 
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -143,6 +143,29 @@ def test_lines_equal_all_pairs(spark):
     assert got == want
 
 
+def test_lines_with_changed_words_equal_brute_force_on_edit_similarity(spark):
+    rng = np.random.default_rng(4)
+    lines = []
+    for n, changes in ((3, 1), (5, 1), (8, 1), (20, 1), (20, 3), (27, 4), (50, 6)):
+        for _ in range(3):
+            base = ["".join("abcdefghijklmnopqrstuvwxyz"[c] for c in rng.integers(0, 26, rng.integers(3, 9))) for _ in range(n)]
+            edited = list(base)
+            for at in rng.choice(n, changes, replace=False):
+                edited[at] = edited[at][:1] + "zq" + edited[at][3:]
+            lines += [" ".join(base), " ".join(edited)]
+    lines += ["copyright company", "copyright compny", "all rights", "all rihts"]
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    links = [
+        (a, b) for a, b in itertools.combinations(range(len(lines)), 2)
+        if abs(len(lines[a]) - len(lines[b])) * 5 <= max(len(lines[a]), len(lines[b]))
+        and edit_distance(lines[a], lines[b]) <= max(len(lines[a]), len(lines[b])) * 20 // 100
+    ]
+    assert len(links) >= 20
+    label = smallest_reachable(range(len(lines)), links)
+    got = {r.doc_id: r.kept for r in line_dedup.similar_lines(docs).collect()}
+    assert got == {i: label[i] == i for i in range(len(lines))}
+
+
 def test_simhash_counts_words_and_blocks_find_three_flipped_bits(spark):
     line = "to be or not to be that is the question"
     row = spark.range(1).select(
