@@ -210,6 +210,20 @@ PATTERNS = [
 ]
 FINDER = re.compile("|".join(f"(?P<{name}>{pattern})" for name, pattern in PATTERNS))
 
+#: Length of an IBAN by its country.
+IBAN_LENGTHS = {
+    code: length
+    for length, codes in {
+        15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+        22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+        25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA",
+        30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+    }.items()
+    for code in codes.split()
+}
+#: Groups of capitals after the last digit, which an IBAN may end with.
+CAPITALS = re.compile(r"(?: [A-Z]{1,4}\b){0,8}")
+
 #: Every form has a digit or an @; most texts are passed over by this alone.
 ANCHORS = re.compile(r"[0-9@](?:.{0,40}[0-9@])*", re.DOTALL)
 SPACE = re.compile(r"\s")
@@ -217,32 +231,46 @@ SPACE = re.compile(r"\s")
 REACH = 65
 
 
+def iban_ends(text: str, start: int, end: int) -> list[int]:
+    """Ends of groups that an IBAN in ``text[start:end]`` may have: that of its country's length first, then the longest."""
+    ends = [end, *(at for at in range(end - 1, start, -1) if text[at] == " ")]
+    length = IBAN_LENGTHS.get(text[start : start + 2])
+    return sorted(ends, key=lambda at: (at - start - text.count(" ", start, at) != length, -at))
+
+
 def replacements(text: str, forms: Forms):
-    """Valid values with their pseudonyms, looked for around digits and @ only."""
+    """Valid values with their pseudonyms, as ``(form, start, end, pseudonym)``, looked for around digits and @ only.
+
+    What follows an IBAN may look like one more group of it, so its shorter ends are tried too.
+    """
     at = 0
     for near in ANCHORS.finditer(text):
         if near.end() <= at:
             continue
         stop = SPACE.search(text, near.end())
-        end = stop.start() if stop else len(text)
+        end = CAPITALS.match(text, stop.start()).end() if stop else len(text)
         at = max(at, near.start() - REACH)
         while found := FINDER.search(text, at, end):
-            fresh = getattr(forms, found.lastgroup)(found[0])
-            at = found.start() + 1 if fresh is None else found.end()
-            if fresh is not None:
-                yield found, fresh
+            form, (start, last) = found.lastgroup, found.span()
+            ends = iban_ends(text, start, last) if form == "iban" else [last]
+            for last in ends:
+                fresh = getattr(forms, form)(text[start:last])
+                if fresh is not None:
+                    yield form, start, last, fresh
+                    break
+            at = start + 1 if fresh is None else last
         at = max(at, near.end())
 
 
 def pseudonymise(text: str, forms: Forms) -> tuple[str, list[tuple[str, int, int]]]:
     """New text, and form, start and length of what was replaced, in the new text."""
     out, spans, at, size = [], [], 0, 0
-    for found, fresh in replacements(text, forms):
-        before = text[at : found.start()]
+    for form, start, end, fresh in replacements(text, forms):
+        before = text[at:start]
         out += [before, fresh]
-        spans.append((found.lastgroup, size + len(before), len(fresh)))
+        spans.append((form, size + len(before), len(fresh)))
         size += len(before) + len(fresh)
-        at = found.end()
+        at = end
     return "".join([*out, text[at:]]), spans
 
 

@@ -154,6 +154,26 @@ def test_letters_in_an_account_number_survive():
     assert int("".join(str(int(c, 36)) for c in packed[4:] + packed[:4])) % 97 == 1
 
 
+@pytest.mark.parametrize(
+    "iban", ["ES9121000418450200051332", "ES91 2100 0418 4502 0005 1332", "BE68 5390 0754 7034", "SE4550000000058398257466", "PL61 1090 1014 0000 0712 1981 2874"]
+)
+@pytest.mark.parametrize("after", [" EUR", " BIC GEBABEBB", " 2024", " ACCOUNT HOLDER", " A", ", EUR", ""])
+def test_what_follows_an_account_number_is_not_part_of_it(iban, after):
+    alone, _ = pseudonyms.pseudonymise(iban, pseudonyms.Forms(b"k"))
+    fresh, spans = pseudonyms.pseudonymise(f"to {iban}{after}", pseudonyms.Forms(b"k"))
+    assert alone != iban and fresh == f"to {alone}{after}" and spans == [("iban", 3, len(iban))]
+    assert pseudonyms.pseudonymise(fresh, pseudonyms.Forms(b"k", inverse=True))[0] == f"to {iban}{after}"
+
+
+def test_an_account_number_may_end_with_letters():
+    body = "MALT011000012345MTLCASTABCD"
+    check = 98 - int("".join(str(int(c, 36)) for c in body + "MT00")) % 97
+    packed = f"MT{check:02d}{body}"
+    iban = " ".join(packed[i : i + 4] for i in range(0, 31, 4))
+    fresh, spans = pseudonyms.pseudonymise(f"see {iban} now", pseudonyms.Forms(b"k"))
+    assert spans == [("iban", 4, len(iban))] and iban not in fresh
+
+
 def test_personal_data_of_odd_rows(spark):
     rows = [(1, None), (2, ""), (3, "call +1 (826) 555-4081 190.137.223.204 now"), (4, "+1 (826) 555-4081"), (None, "x" * 100000 + " 4111111111111111")]
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("spans", F.lit(1))
