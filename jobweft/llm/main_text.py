@@ -50,9 +50,13 @@ TOKEN = re.compile(
     r"|<[!?][^>]*>|<[/a-zA-Z!?][^>]*\Z",
     re.DOTALL,
 )
-NAMED = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
-HIDDEN = re.compile(r"\bhidden\b(?!\s*=\s*[\"']?false)|display\s*:\s*none", re.IGNORECASE)
+ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+UNSEEN = re.compile(r"(?:^|;)\s*display\s*:\s*none", re.IGNORECASE)
 WORD = re.compile(r"[a-z]+")
+#: A class that begins so says what is around, or is not; it marks nothing itself.
+ABOUT = re.compile(r"(?:has|have|no|not|with|without|hide|hides|is-not)[-_]")
+#: Elements of a head; any other one ends it.
+IN_HEAD = frozenset("title base link meta style script noscript template".split())
 
 
 class Page:
@@ -60,14 +64,18 @@ class Page:
 
     def __init__(self, source: str):
         self.parents, self.tags, self.dropped, self.marks = [-1], [""], [False], [frozenset()]
+        #: Why an element is furniture by itself: nothing, its tag, or a name, role or form, which may be taken back.
+        self.causes = [""]
         self.hashes: list[int] = [0]
         self.parts: list[list[str]] = [[]]
-        self.blocks: list[tuple[str, int]] = []
-        self.buffer: list[str] = []
-        self.open = [0]
+        self.pieces: list[tuple[list[tuple[str, int]], int]] = []
+        self.buffer: list[tuple[str, int]] = []
+        self.open, self.heads = [0], 0
+        self.roles: dict[int, str] = {}
         self._read(source)
         while self.open:
             self._close()
+        self._settle()
 
     def _read(self, source: str) -> None:
         at = 0
@@ -88,17 +96,82 @@ class Page:
     def _text(self, text: str) -> None:
         if text and not self.tags[self.open[-1]] == "html":
             text = entities.unescape(text)
+            if self.heads and self.tags[self.open[-1]] == "head" and text.strip():
+                self._close_head()
             self.parts[self.open[-1]].append(text)
             if not self.dropped[self.open[-1]]:
-                self.buffer.append(text)
+                self.buffer.append((text, self.open[-1]))
 
     def _flush(self) -> None:
-        text = " ".join("".join(self.buffer).split())
-        if text:
-            self.blocks.append((text, self.open[-1]))
+        if self.buffer:
+            self.pieces.append((self.buffer, self.open[-1]))
         self.buffer = []
 
+    def _close_head(self) -> None:
+        for depth in range(len(self.open) - 1, 0, -1):
+            if self.tags[self.open[depth]] == "head":
+                self._close_to(depth)
+                return
+
+    def _above(self, nodes) -> set[int]:
+        """``nodes`` and all elements around them."""
+        found: set[int] = set()
+        for node in nodes:
+            while node >= 0 and node not in found:
+                found.add(node)
+                node = self.parents[node]
+        return found
+
+    def _drop(self, freed: set[int]) -> None:
+        """Say which elements are dropped if ``freed`` are no furniture, and join the text of the others by block."""
+        for node in range(1, len(self.tags)):
+            cause = self.causes[node]
+            self.dropped[node] = self.dropped[self.parents[node]] or bool(cause) and node not in freed
+        self.blocks = []
+        for pieces, node in self.pieces:
+            text = " ".join("".join([text for text, at in pieces if not self.dropped[at]]).split())
+            if text:
+                self.blocks.append((text, node))
+
+    def _settle(self) -> None:
+        """Furniture is what its name, role or tag says, unless the page's only article is in it.
+
+        What holds the main element is never dropped for a name, a role or for being a
+        form. What holds an article, and a form that holds a heading or a container
+        named as content, is taken back if this gives more text than the page has without.
+        """
+        soft = {n for n in range(1, len(self.tags)) if self.causes[n] == "name"}
+        if not soft:
+            self._drop(set())
+            return
+        inner = [False] * len(self.tags)
+        for n in range(1, len(self.tags)):
+            inner[n] = inner[self.parents[n]] or self.tags[self.parents[n]] in ("article", "main")
+        mains = [n for n in range(1, len(self.tags)) if self.tags[n] == "main" or "main" in self.roles.get(n, "")]
+        freed = soft & self._above(mains)
+        self._drop(freed)
+        articles = [n for n in range(1, len(self.tags)) if self.tags[n] == "article" and not inner[n]]
+        if any(not self.dropped[n] for n in articles + mains) and any(self.blocks):
+            inside = self.body()
+            if not all(inside) and any(inside[node] for _, node in self.blocks):
+                return
+        forms = {n for n in soft if self.tags[n] == "form" and not inner[n]}
+        held = self._above(
+            n for n in range(1, len(self.tags))
+            if self.tags[n] == "h1" or self.tags[n] in ("div", "section", "td") and self.marks[n] & BODIES
+        )
+        for more in (soft & self._above(articles), forms & held, forms):
+            before = len(self.text())
+            if more - freed and (more is not forms or not before):
+                self._drop(freed | more)
+                if len(self.text()) > before:
+                    freed = freed | more
+                else:
+                    self._drop(freed)
+
     def _start(self, tag: str, attributes: str) -> None:
+        if tag not in IN_HEAD and self.heads:
+            self._close_head()
         if tag in BLOCK:
             self._flush()
             self._imply(tag)
@@ -107,19 +180,34 @@ class Page:
                 self._text(" ")
             return
         parent, marks, role = self.open[-1], frozenset(), ""
-        gone = self.dropped[parent] or tag in RAW or tag in FURNITURE
+        cause = "name" if tag == "form" else "tag" if tag in RAW or tag in FURNITURE else ""
+        # What is in an element dropped for good is not looked at.
+        gone = self.dropped[parent] or cause == "tag"
         if attributes and not gone:
-            for name, *values in NAMED.findall(attributes):
-                value = "".join(values).lower()
-                if name.lower() == "role":
-                    role = value
-                else:
-                    marks |= frozenset(WORD.findall(value))
-            gone = bool(role in ROLES or HIDDEN.search(attributes) or (tag not in ("html", "body") and marks & MARKS))
+            words: set[str] = set()
+            for name, *values in ATTRIBUTE.findall(attributes):
+                name, value = name.lower(), "".join(values)
+                if name == "role":
+                    role = value.lower()
+                elif name in ("class", "id"):
+                    for item in value.lower().split():
+                        if not ABOUT.match(item):
+                            words.update(WORD.findall(item))
+                elif name == "hidden" and value.lower() != "false" or name == "style" and UNSEEN.search(value):
+                    gone, cause = True, "tag"
+            marks = frozenset(words)
+            if not gone and (role in ROLES or tag not in ("html", "body") and marks & MARKS):
+                cause = "name"
             if role == "main":
                 marks |= {"main"}
-        if not gone and (tag == "header" or "header" in marks):
-            gone = not any(self.tags[n] in ("article", "main") for n in self.open)
+                self.roles[len(self.tags)] = role
+        if not gone and not cause and (tag == "header" or "header" in marks):
+            if not any(self.tags[n] in ("article", "main") for n in self.open):
+                cause = "tag" if tag == "header" else "name"
+                gone = cause == "tag"
+        self.causes.append(cause)
+        if tag == "head":
+            self.heads += 1
         self.parents.append(parent)
         self.tags.append(tag)
         self.dropped.append(gone)
@@ -159,6 +247,7 @@ class Page:
         if self.tags[node] in BLOCK or len(self.open) == 1:
             self._flush()
         self.open.pop()
+        self.heads -= self.tags[node] == "head"
         self.hashes[node] = xxhash.xxh3_64_intdigest("\x00".join(self.parts[node]).encode("utf-8", "replace")) >> 1
         if self.open:
             self.parts[self.open[-1]].append(f"{self.hashes[node]:x}")

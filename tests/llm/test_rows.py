@@ -206,6 +206,28 @@ def test_main_text_of_a_page(source, text):
     assert main_text.Page(source).text() == text
 
 
+@pytest.mark.parametrize(
+    "source,text",
+    [
+        (page("<main class='overflow-hidden'><p>a</p></main>"), "a"),
+        (page("<div class='md:hidden' style='overflow: hidden'><article><p>a</p></article></div>"), "a"),
+        (page("<article style='display: none'><p>a</p></article><p>b</p>"), "b"),
+        (page("<div class='has-sidebar'><article class='no-comments'><p>a</p></article></div><p>b</p>"), "a"),
+        (page("<div class='content with-sidebar'><p>a</p></div><p>b</p>"), "a"),
+        (page("<div class='sidebar-layout'><main><p>a</p></main><div class='ads'>b</div></div>"), "a"),
+        (page("<div class='widget-page'><article><p>a long text</p></article></div><p>b</p>"), "a long text"),
+        (page("<div class='related'><article><p>teaser</p></article></div><article><p>a</p></article>"), "a"),
+        ("<html><head><title>T</title><meta charset=utf-8><body><article><p>a</p></article></body></html>", "a"),
+        ("<html><head><title>T</title><p>a</p>", "a"),
+        (page("<form><div><article><p>a</p></article></div></form>"), "a"),
+        (page("<form action='x'><p>a</p><p>b</p></form>"), "a\nb"),
+        (page("<form><h1>t</h1><p>words</p></form><div>x</div>"), "t\nwords\nx"),
+    ],
+)
+def test_an_article_is_not_lost_through_what_is_around(source, text):
+    assert main_text.Page(source).text() == text
+
+
 def test_templates_of_a_host_are_removed(spark):
     box = "<div><p>Read our other offers</p></div>"
     rows = [(i, f"http://h.example.com/{i}", page(f"{box}<div><p>own text {i}</p></div>")) for i in range(12)]
