@@ -19,8 +19,9 @@ from pyspark.sql import functions as F
 
 from jobweft.llm.common import map_batches, settled
 
-#: A template subtree is on so many different pages of a host, and on this share of them.
-LEAST_PAGES, LEAST_SHARE = 8, 0.3
+#: A template subtree is on so many different pages of a host, and on this share of them or, on a host with more
+#: pages, on so many times the root of their number. On a host with fewer than ``LEAST_PAGES`` it is on all, at least ``FEW_PAGES``.
+LEAST_PAGES, LEAST_SHARE, ROOT_SHARE, FEW_PAGES = 8, 0.3, 1.0, 4
 
 #: Bytes up to which the hosts' template lists are sent to all tasks.
 BROADCAST_BYTES = 8 << 20
@@ -310,9 +311,10 @@ def host_of(url_col: str):
 def host_templates(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
     """``(host, templates)``: hashes of the subtrees that recur on the host's pages.
 
-    Pages with an equal main text count once, so copies make no template. A host's
-    list is short by rule: a template is on ``LEAST_SHARE`` of its pages, so there are
-    at most blocks-per-page divided by that share.
+    Pages with an equal main text count once, so copies make no template. The number
+    of pages a template must be on grows with the root of the host's, so what rotates or
+    belongs to one section is found on a large host too; a host's list has at most as
+    many templates as a page has blocks, times that root.
     """
 
     def read(batch: pa.RecordBatch):
@@ -333,11 +335,12 @@ def host_templates(pages: DataFrame, url_col: str = "url", html_col: str = "html
         pages.where(F.col(html_col).isNotNull()).select(host_of(url_col).alias("host"), F.col(html_col).alias("html")),
         read, "host string, main bigint, subtree bigint",
     ).distinct()
-    counts = seen.groupBy("host", "subtree").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= LEAST_PAGES)
+    counts = seen.groupBy("host", "subtree").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= FEW_PAGES)
     totals = counts.where("subtree = 0").select("host", F.col("n").alias("pages"))
+    share = F.least(F.col("pages") * LEAST_SHARE, F.sqrt("pages") * ROOT_SHARE)
     return (
         counts.where("subtree <> 0").join(totals, "host")
-        .where(F.col("n") >= F.col("pages") * LEAST_SHARE)
+        .where(F.col("n") >= F.greatest(F.least(F.lit(LEAST_PAGES), F.col("pages")), share))
         .groupBy("host").agg(F.array_sort(F.collect_set("subtree")).alias("templates"))
     )
 

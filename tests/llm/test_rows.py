@@ -245,6 +245,20 @@ def test_templates_of_a_host_are_removed(spark):
     assert main_text.main_text(pages.limit(0)).count() == 0
 
 
+def test_rotating_adverts_and_menus_of_sections_are_removed_from_a_hot_host(spark):
+    def body(i):
+        advert, menu = f"<div><p>Buy product {i % 12} today</p></div>", f"<div><ul><li>Part {i % 10}<li>of the site</ul></div>"
+        return page(f"{menu}<div><p>own text {i}</p></div>{advert}")
+
+    rows = [(i, f"http://hot.example.com/s{i % 10}/{i}", body(i)) for i in range(400)]
+    rows += [(1000 + i, f"http://small.example.com/{i}", page(f"<div><p>Our offers</p></div><div><p>own {i}</p></div>")) for i in range(5)]
+    rows += [(2000 + i, f"http://two.example.com/{i}", page(f"<div><p>Our offers</p></div><div><p>own {i}</p></div>")) for i in range(2)]
+    found = {r.page_id: r.text for r in main_text.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert [found[i] for i in range(400)] == [f"own text {i}" for i in range(400)]
+    assert [found[1000 + i] for i in range(5)] == [f"own {i}" for i in range(5)]
+    assert found[2000] == "Our offers\nown 0"
+
+
 def test_quality_on_held_out_rows(spark):
     folder = "/root/testdata/sf0.01"
     from jobweft.llm import catalog
