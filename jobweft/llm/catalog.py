@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobweft.llm import decontaminate, fingerprints, line_dedup, main_text, mixing, near_dedup, pseudonyms, quality, sharding, url_lists
+from jobweft.llm import (
+    bpe, decontaminate, fingerprints, lexical_search, line_dedup, main_text, manifest, mixing, near_dedup, pseudonyms,
+    quality, sharding, url_lists,
+)
 from jobweft.llm.common import table
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -173,6 +176,111 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).drop("row")
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The twenty documents that rank highest for each benchmark item."""
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), top=20)
+
+
+OP11_SQL = rf"""
+WITH cut AS (
+  SELECT row_number() OVER () AS r, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+totals AS (SELECT count(*) AS docs, sum(len(w))::BIGINT AS terms FROM cut WHERE len(w) > 0),
+tf AS (SELECT r, doc_id, n, term, count(*) AS tf FROM (SELECT r, doc_id, len(w) AS n, unnest(w) AS term FROM cut) GROUP BY ALL),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+asked AS (
+  SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark),
+wanted AS (
+  SELECT item_id, term, count(*) * floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS weight
+  FROM asked JOIN df USING (term), totals GROUP BY item_id, term, docs, df),
+scored AS (
+  SELECT item_id, r, doc_id, sum(weight * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * docs) // terms))))::BIGINT AS score
+  FROM wanted JOIN tf USING (term), totals GROUP BY item_id, r, doc_id),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST)::INT AS rank FROM scored WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 20
+"""
+
+
+def tokenizer_path() -> str:
+    """The public byte-level vocabulary that op12 is stated for."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text as byte-pair ids and back."""
+    path = tokenizer_path()
+    rows = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path)
+    joined = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return rows.select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"), manifest.digest(joined).alias("ids_sha256"),
+        manifest.digest(F.col("decoded")).alias("decoded_sha256"),
+    )
+
+
+def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's proof in a Merkle tree by language, and which tampered ones it gives away."""
+    proofs = manifest.document_proofs(table(spark, sf_dir, "documents"))
+    folded = manifest.folded(F.coalesce("altered", "leaf"), F.col("path"))
+    return proofs.select(
+        "doc_id", "leaf", "subroot", "root", manifest.digest(manifest.sibling_text(F.col("path"))).alias("proof_sha256"),
+        folded.alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def _framed(column: str) -> str:
+    return f"coalesce(octet_length(encode(({column})::VARCHAR))::VARCHAR || ':' || ({column})::VARCHAR, '-')"
+
+
+def _leaf(n_chars: str) -> str:
+    return f"sha256({' || '.join(_framed(c) for c in ('doc_id', 'source', 'lang', n_chars, 'text'))})"
+
+
+#: CRC-32 bit by bit, levels as lists of hashes, and one sibling a level.
+OP13_SQL = f"""
+WITH RECURSIVE crc AS (
+  SELECT *, xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+    lambda x, b: list_reduce(list_concat([xor(x, b)], [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda y, z: xor(y >> 1, (y & 1) * 3988292384))),
+    4294967295::BIGINT) AS crc FROM documents),
+leaves AS (
+  SELECT doc_id, lang, {_leaf('n_chars')} AS leaf, CASE WHEN crc % 7 = 0 THEN {_leaf('n_chars + 1')} ELSE {_leaf('n_chars')} END AS altered
+  FROM crc),
+placed AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM leaves),
+tree(lang, k, nodes) AS (
+  SELECT lang, 0, list(leaf ORDER BY pos) FROM placed GROUP BY lang
+  UNION ALL
+  SELECT lang, k + 1, list_transform(range(0, (len(nodes) + 1) // 2), lambda i: sha256(nodes[2 * i + 1] || coalesce(nodes[2 * i + 2], '')))
+  FROM tree WHERE len(nodes) > 1),
+tops AS (SELECT lang, nodes[1] AS top, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos FROM tree WHERE len(nodes) = 1),
+crown(k, nodes) AS (
+  SELECT 0, list(top ORDER BY pos) FROM tops
+  UNION ALL
+  SELECT k + 1, list_transform(range(0, (len(nodes) + 1) // 2), lambda i: sha256(nodes[2 * i + 1] || coalesce(nodes[2 * i + 2], '')))
+  FROM crown WHERE len(nodes) > 1),
+steps AS (
+  SELECT p.lang, p.pos, k, p.pos // (1 << k) AS own, nodes FROM placed p JOIN tree t ON t.lang IS NOT DISTINCT FROM p.lang WHERE len(nodes) > 1
+  UNION ALL
+  SELECT p.lang, p.pos, 1000 + k, t.pos // (1 << k), nodes FROM placed p JOIN tops t ON t.lang IS NOT DISTINCT FROM p.lang, crown
+  WHERE len(nodes) > 1),
+sides AS (
+  SELECT lang, pos, list((CASE WHEN own % 2 = 1 THEN 'L' ELSE 'R' END) || coalesce(nodes[xor(own, 1) + 1], '') ORDER BY k) AS path
+  FROM steps GROUP BY lang, pos),
+proofs AS (
+  SELECT doc_id, leaf, top AS subroot, (SELECT nodes[1] FROM crown WHERE len(nodes) = 1) AS root, coalesce(path, []::VARCHAR[]) AS path, altered
+  FROM placed p JOIN tops t ON t.lang IS NOT DISTINCT FROM p.lang
+  LEFT JOIN sides s ON s.lang IS NOT DISTINCT FROM p.lang AND s.pos = p.pos),
+folded AS (
+  SELECT doc_id, leaf, subroot, root, sha256(array_to_string(list_transform(path, lambda s: s[2:]), '')) AS proof_sha256,
+    list_reduce(list_concat([altered], path), lambda x, s: sha256(CASE WHEN s[1] = 'L' THEN s[2:] || x ELSE x || s[2:] END)) AS folded_root
+  FROM proofs)
+SELECT *, folded_root = root AS verified FROM folded
+"""
+
+
 QUERIES = {
     "op1_near_dedup": (op1_near_dedup, OP1_SQL),
     "op2_line_dedup": (op2_line_dedup, None),
@@ -184,6 +292,9 @@ QUERIES = {
     "op8_fingerprints": (op8_fingerprints, None),
     "op9_url_lists": (op9_url_lists, OP9_SQL),
     "op10_mixing": (op10_mixing, None),
+    "op11_lexical_search": (op11_lexical_search, OP11_SQL),
+    "op12_bpe": (op12_bpe, None),
+    "op13_manifest": (op13_manifest, OP13_SQL),
 }
 
 

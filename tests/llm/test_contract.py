@@ -10,7 +10,7 @@ from jobweft.llm import catalog, decontaminate, mixing, near_dedup
 
 NAMES = [
     "op1_near_dedup", "op2_line_dedup", "op3_decontamination", "op4_pseudonyms", "op5_main_text", "op6_quality",
-    "op7_sharding", "op8_fingerprints", "op9_url_lists", "op10_mixing",
+    "op7_sharding", "op8_fingerprints", "op9_url_lists", "op10_mixing", "op11_lexical_search", "op12_bpe", "op13_manifest",
 ]
 
 
@@ -22,7 +22,7 @@ def test_all_are_registered():
 @pytest.mark.parametrize("name", sorted(catalog.equivalent_sql()))
 def test_query_equals_sql(spark, sf_dir, name):
     db = duckdb.connect()
-    for table in ("documents", "pages"):
+    for table in ("documents", "pages", "benchmark"):
         db.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf_dir}/{table}.parquet'")
     frame = catalog.registered()[name](spark, sf_dir)
     cursor = db.execute(catalog.equivalent_sql()[name])
