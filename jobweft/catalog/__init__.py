@@ -6,9 +6,9 @@ written for another engine and shares no code with the query.
 
 from __future__ import annotations
 
-from jobweft.catalog import adapters, extraction, linking, matching, reports, runs, validation
+from jobweft.catalog import adapters, extraction, linking, loads, matching, reports, runs, validation
 
-MODULES = [reports, matching, extraction, adapters, validation, runs, linking]
+MODULES = [reports, matching, extraction, adapters, validation, runs, linking, loads]
 
 
 def registered() -> dict:

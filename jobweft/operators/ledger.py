@@ -22,6 +22,46 @@ def runs_to_process(runs: DataFrame, ledger: DataFrame, *, retry_partial: bool =
     return runs.join(ledger.where(F.col("status").isin(done)).select(_RUN), _RUN, "left_anti")
 
 
+def leased(ledger: DataFrame, attempt_id: str, now: Column, lease_seconds: int) -> DataFrame:
+    """Runs that another attempt took up less than ``lease_seconds`` ago and has not finished."""
+    age = F.unix_seconds(now) - F.unix_seconds("processing_started_at")
+    held = (F.col("status") == "processing") & (F.col("attempt_id") != attempt_id) & (age < lease_seconds)
+    return ledger.where(held).select(_RUN)
+
+
+def register_runs(ledger: DataFrame, runs: DataFrame, attempt_id: str, now: Column) -> DataFrame:
+    """Ledger in which ``runs`` are being processed by an attempt, written before the work.
+
+    New runs get a row, known ones keep what they were registered with. A run that an
+    earlier attempt left in ``processing`` belongs to this one from now on.
+    """
+    joined = ledger.alias("old").join(runs.withColumn("_taken", F.lit(True)).alias("new"), _RUN, "full_outer")
+    taken = F.col("new._taken").isNotNull()
+
+    def pick(column: str, fresh: Column) -> Column:
+        return F.when(taken, fresh).otherwise(F.col(f"old.{column}")).alias(column)
+
+    registered = ["source_key", "raw_path", "retrieved_at", "record_count", "payload_sha256"]
+    return joined.select(
+        *_RUN,
+        *[F.coalesce(F.col(f"old.{c}"), F.col(f"new.{c}")).alias(c) for c in registered],
+        pick("status", F.lit("processing")),
+        F.coalesce(F.col("old.processed_records"), F.lit(0)).alias("processed_records"),
+        F.col("old.parser_version").alias("parser_version"),
+        pick("error_message", F.lit(None).cast("string")),
+        pick("attempt_id", F.lit(attempt_id)),
+        pick("processing_started_at", now),
+        F.col("old.processed_at").alias("processed_at"),
+        F.coalesce(F.col("old.created_at"), now).alias("created_at"),
+        pick("updated_at", now),
+    )
+
+
+def owned_runs(ledger: DataFrame, attempt_id: str) -> DataFrame:
+    """Runs that an attempt registered and nobody took over or finished since."""
+    return ledger.where((F.col("status") == "processing") & (F.col("attempt_id") == attempt_id)).select(_RUN)
+
+
 def run_status(successful: Column, errors: Column, expected: Column) -> Column:
     """Outcome of a run; without a single success it failed, even when empty."""
     return (
@@ -116,7 +156,9 @@ def advance_ledger(ledger: DataFrame, outcomes: DataFrame, parser_version: str)
             F.when(finished, F.lit(parser_version)).otherwise(F.col("old.parser_version")),
         ),
         pick("error_message", F.col("new.error_message")),
-        pick("processing_started_at", now),
+        *[F.col(f"old.{c}").alias(c) for c in ("attempt_id",) if c in ledger.columns],
+        # Registration set the start; a ledger without it starts now.
+        pick("processing_started_at", F.coalesce(F.col("old.processing_started_at"), now)),
         pick("processed_at", F.when(finished, now).otherwise(F.col("old.processed_at"))),
         F.coalesce(F.col("old.created_at"), now).alias("created_at"),
         pick("updated_at", now),

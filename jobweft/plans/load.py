@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,8 +17,11 @@ from jobweft.operators.dictionary import AliasDictionary, load_dictionaries
 from jobweft.operators.enrich import enrich_jobs
 from jobweft.operators.ledger import (
     advance_ledger,
+    leased,
     link_errors,
     load_summary,
+    owned_runs,
+    register_runs,
     run_outcomes,
     runs_to_process,
 )
@@ -27,11 +32,15 @@ from jobweft.session import cut_lineage
 from jobweft.settings import Board, HourLimits, boards_frame, load_boards, load_hour_limits
 from jobweft.sources.adapters import ADAPTERS, RUN_FIELDS, Adapter, read_rows
 from jobweft.sources.boards import attribute_runs
-from jobweft.sources.silver import SilverTables, whole
+from jobweft.sources.bronze import RunFiles, RunFrame, RunTable
+from jobweft.sources.silver import CommitConflict, SilverTables, whole
 
 _RUN = ["source_id", "run_id"]
 _ORDER = ["retrieved_at", "run_id", "pos"]
 
+#: Runs that one commit takes up, and how often a commit that came second is planned again.
+RUNS_AT_ONCE, ATTEMPTS = 4096, 10
+
 
 @dataclass(frozen=True)
 class Rules:
@@ -83,105 +92,215 @@ def unseeded_names(
     }
 
 
-def seed_dimensions(spark: SparkSession, tables: SilverTables, rules: Rules) -> DataFrame:
-    """Append the seeds that are missing and return all dimensions."""
+@dataclass(frozen=True)
+class State:
+    """What a load starts from."""
+
+    postings: DataFrame
+    ledger: DataFrame
+    dimensions: DataFrame
+
+
+@dataclass(frozen=True)
+class Batch:
+    """Parsed runs of one attempt: accepted records, error rows and the runs themselves."""
+
+    attempt_id: str
+    now: Column
+    good: DataFrame
+    bad: DataFrame
+    runs: DataFrame
+
+
+@dataclass(frozen=True)
+class Changes:
+    """What a load would make of its state: new rows of the boards it touched, and the rest."""
+
+    postings: DataFrame
+    touched: DataFrame
+    ledger: DataFrame
+    errors: DataFrame
+    outcomes: DataFrame
+
+
+def parse_batch(todo: DataFrame, rules: Rules, dimensions: DataFrame, attempt_id: str, now: Column) -> Batch:
+    """Parse attributed runs with their payloads; runs without a parser fail."""
+    good, bad, seen = parse_runs(todo, rules, dimensions)
+    unknown = todo.where(~F.col("adapter_id").isin(list(rules.adapters))).drop("payload")
+    unknown = unknown.withColumn(
+        "run_error",
+        F.coalesce("run_error", F.concat(F.lit("No parser is registered for source: "), "adapter_id")),
+    )
+    return Batch(attempt_id, now, good, bad, seen.unionByName(unknown.select(seen.columns)))
+
+
+def plan_load(state: State, batch: Batch) -> Changes:
+    """The state after a batch, as frames: nothing is read from or written to a table.
+
+    Only runs that the ledger still shows as taken up by the batch's attempt count;
+    what another load took over meanwhile is left to it. Records replace stored rows
+    that are not newer, with all their children; a record with an error leaves only
+    its error row. Postings that the newest complete snapshot of a board lacks become
+    inactive, and postings without a link get one.
+    """
+    owned = cut_lineage(owned_runs(state.ledger, batch.attempt_id))
+    good, bad, runs = (frame.join(owned, _RUN, "left_semi") for frame in (batch.good, batch.bad, batch.runs))
+    outcomes = cut_lineage(run_outcomes(runs, good, bad))
+    ledger = cut_lineage(advance_ledger(state.ledger, outcomes, PARSER_VERSION).select(*LEDGER))
+
+    fresh = _as_postings(good, batch.now)
+    touched = cut_lineage(fresh.select("source_key").unionByName(outcomes.select("source_key")).distinct())
+    before = state.postings.join(touched, "source_key", "left_semi").withColumn("pos", F.lit(-1))
+    merged = deactivate_missing(_merge(before, fresh), snapshot_cutoffs(ledger))
+    linked = cut_lineage(_link(merged, state.postings, fresh))
+    errors = link_errors(bad, ledger).withColumn("created_at", batch.now)
+    return Changes(linked.select(*POSTINGS), touched, ledger, errors.select(*ERRORS), outcomes)
+
+
+def missing_dimensions(spark: SparkSession, rules: Rules, stored: DataFrame) -> DataFrame:
+    """Seeds that the stored dimensions do not have yet."""
     seed = seed_frame(spark, rules.dictionaries, rules.boards)
-    stored = tables.dimensions()
     sources = F.col("dimension") == "sources"
-    missing = missing_seeds(seed.where(~sources), stored, "dimension", "name").unionByName(
+    return missing_seeds(seed.where(~sources), stored, "dimension", "name").unionByName(
         missing_seeds(seed.where(sources), stored.where(sources), "source_key")
     )
-    if not missing.isEmpty():
-        tables.append("dimensions", missing)
-    return tables.dimensions()
 
 
 def load_runs(
     spark: SparkSession,
-    discovered: DataFrame,
+    discovered: RunFiles | RunTable | RunFrame | DataFrame,
     tables: SilverTables,
     rules: Rules | None = None,
     *,
     retry_partial: bool = False,
+    runs_at_once: int = RUNS_AT_ONCE,
+    lease_seconds: int = 0,
 ) -> DataFrame:
-    """Process every run not done yet and commit the result; returns the counters.
+    """Process every run not done yet and commit the results; returns the counters.
+
+    Runs are taken up oldest first, ``runs_at_once`` at a time, in two commits. The
+    first one registers them in the ledger as ``processing`` by this attempt, before a
+    payload is read. The second one makes postings, ledger and errors visible together.
+    A load that dies in between leaves its runs in ``processing``, and the next load
+    takes them over (with ``lease_seconds`` only those taken up longer ago).
 
-    Replaying a load changes nothing: finished runs are skipped, postings are keyed
-    by board and job id, and a link once made stays. Postings, ledger and errors
-    become visible together by one commit; a load that dies before it leaves no trace
-    but folders that nobody reads. Runs that cannot be registered are counted as
-    ``rejected``, leave an error row with their path, and make the exit code 1.
+    Replaying a load changes nothing: finished runs are skipped, postings are keyed by
+    board and job id, and a link once made stays. Loads may run side by side: a commit
+    that comes second is planned again from the tables as they are then, without the
+    runs that belong to another attempt by then.
+
+    Runs that cannot be registered are counted as ``rejected``, leave an error row with
+    their path, and make the exit code 1.
     """
     rules = rules or Rules()
-    dimensions = seed_dimensions(spark, tables, rules)
-    ledger = tables.ledger()
+    source = RunFrame(discovered) if isinstance(discovered, DataFrame) else discovered
+    attempt_id = uuid.uuid4().hex
     # One time stands for the whole load, also for runs that do not say theirs.
     now = F.lit(datetime.now(timezone.utc))
-    named, rejected = split_runs(discovered)
-    rejected = cut_lineage(rejected)
-    timed = named.withColumn("retrieved_at", F.coalesce("retrieved_at", now))
-    attributed = attribute_runs(timed, boards_frame(spark, rules.boards))
-    todo = runs_to_process(attributed, ledger, retry_partial=retry_partial)
-    good, bad, seen_runs = parse_runs(todo, rules, dimensions)
-
-    unknown = todo.where(~F.col("adapter_id").isin(list(rules.adapters))).drop("payload")
-    unknown = unknown.withColumn(
-        "run_error",
-        F.coalesce("run_error", F.concat(F.lit("No parser is registered for source: "), "adapter_id")),
-    )
-    all_runs = seen_runs.unionByName(unknown.select(seen_runs.columns))
-    outcomes = cut_lineage(run_outcomes(all_runs, good, bad))
-    ledger_after = cut_lineage(
-        advance_ledger(ledger, outcomes, PARSER_VERSION).select(*LEDGER)
-    )
-
-    batch = _as_postings(good, now)
-    touched = batch.select("source_key").unionByName(outcomes.select("source_key")).distinct()
-    touched = cut_lineage(touched)
-    before = tables.postings()
-    state = before.join(touched, "source_key", "left_semi").withColumn("pos", F.lit(-1))
-    merged = _merge(state, batch)
-    merged = deactivate_missing(merged, snapshot_cutoffs(ledger_after))
-    linked = cut_lineage(_link(merged, before, batch))
-
-    version = tables.next_version()
-    tables.write_postings(linked.select(*POSTINGS), version)
-    tables.write_whole("ledger", ledger_after, version)
-    problems = link_errors(bad, ledger_after).unionByName(
-        rejected.select(
-            "source_id", "run_id", F.lit(None).cast("string").alias("source_job_id"), F.lit("metadata").alias("stage"),
-            F.lit("RejectedRun").alias("error_type"),
-            F.concat("raw_path", F.lit(": "), F.coalesce("run_error", F.lit("run cannot be keyed"))).alias("error_message"),
+    named, rejected = map(cut_lineage, split_runs(cut_lineage(source.facts())))
+    attributed = cut_lineage(attribute_runs(named, boards_frame(spark, rules.boards)))
+    turned_away, done = rejected.count(), []
+    problems = _rejections(rejected).withColumn("created_at", now).select(*ERRORS) if turned_away else None
+    while True:
+        todo = _register(
+            spark, tables, attributed, problems if not done else None, rules, attempt_id, now,
+            retry_partial, runs_at_once, lease_seconds,
         )
-    )
-    tables.write_errors(problems.withColumn("created_at", now).select(*ERRORS), version)
-    parts = touched.select(F.lit("postings").alias("table_name"), F.col("source_key").alias("part"))
-    turned_away = rejected.count()
+        if todo is None:
+            break
+        dimensions = tables.dimensions()
+        batch = parse_batch(source.with_payload(todo), rules, dimensions, attempt_id, now)
+        done.append(_finish(spark, tables, batch))
+    outcomes = reduce(DataFrame.unionByName, done) if done else spark.createDataFrame([], "status string, processed_records int")
     counted = load_summary(named, outcomes)
-    summary = cut_lineage(
+    return cut_lineage(
         counted.withColumn("discovered", F.col("discovered") + turned_away)
         .withColumn("exit_code", F.when(F.lit(turned_away > 0), 1).otherwise(F.col("exit_code")))
         .withColumn("rejected", F.lit(turned_away))
     )
-    for name in ("ledger", "errors"):
-        parts = parts.unionByName(whole(name, spark))
-    tables.commit(parts, version)
-    return summary
 
 
-def split_runs(discovered: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Runs that can be registered, and (without payload) those that cannot.
+def _rejections(rejected: DataFrame) -> DataFrame:
+    return rejected.select(
+        "source_id", "run_id", F.lit(None).cast("string").alias("source_job_id"), F.lit("metadata").alias("stage"),
+        F.lit("RejectedRun").alias("error_type"),
+        F.concat("raw_path", F.lit(": "), F.coalesce("run_error", F.lit("run cannot be keyed"))).alias("error_message"),
+    )
+
+
+def _register(
+    spark, tables, attributed, problems, rules, attempt_id, now, retry_partial, runs_at_once, lease_seconds
+) -> DataFrame | None:
+    """Commit the next runs as taken up, and return them; None if there are none.
+
+    Missing seeds, and ``problems`` if given, are committed along.
+    """
+    for _ in range(ATTEMPTS):
+        held = tables.snapshot()
+        ledger = held.ledger()
+        mine = F.col("attempt_id") == attempt_id
+        skipped = ledger.where(mine & (F.col("status") != "processing")).select(*_RUN)
+        if lease_seconds:
+            skipped = skipped.unionByName(leased(ledger, attempt_id, now, lease_seconds))
+        known = ledger.select(*_RUN, F.col("retrieved_at").alias("_registered_at"))
+        waiting = runs_to_process(attributed, ledger, retry_partial=retry_partial).join(skipped, _RUN, "left_anti")
+        todo = (
+            waiting.join(known, _RUN, "left")
+            .withColumn("retrieved_at", F.coalesce("retrieved_at", "_registered_at", now)).drop("_registered_at")
+            .orderBy("retrieved_at", *_RUN).limit(runs_at_once)
+        )
+        todo = cut_lineage(todo)
+        seeds = cut_lineage(missing_dimensions(spark, rules, held.dimensions()))
+        written = {"dimensions": None if seeds.isEmpty() else seeds, "errors": problems}
+        if not todo.isEmpty():
+            written["ledger"] = register_runs(ledger, todo, attempt_id, now).select(*LEDGER)
+        written = {name: frame for name, frame in written.items() if frame is not None}
+        if not written:
+            return None
+        version = held.next_version()
+        for name, frame in written.items():
+            held.write_whole(name, frame, version)
+        parts = reduce(DataFrame.unionByName, [whole(name, spark) for name in written])
+        try:
+            held.commit(parts, version)
+        except CommitConflict:
+            continue
+        return todo if "ledger" in written else None
+    raise CommitConflict(f"{ATTEMPTS} registrations were overtaken by other loads")
+
+
+def _finish(spark: SparkSession, tables: SilverTables, batch: Batch) -> DataFrame:
+    """Commit what a batch changes, and return the outcomes of its runs."""
+    for _ in range(ATTEMPTS):
+        held = tables.snapshot()
+        changes = plan_load(State(held.postings(), held.ledger(), held.dimensions()), batch)
+        version = held.next_version()
+        held.write_postings(changes.postings, version)
+        held.write_whole("ledger", changes.ledger, version)
+        held.write_errors(changes.errors, version)
+        parts = changes.touched.select(F.lit("postings").alias("table_name"), F.col("source_key").alias("part"))
+        for name in ("ledger", "errors"):
+            parts = parts.unionByName(whole(name, spark))
+        try:
+            held.commit(parts, version)
+        except CommitConflict:
+            continue
+        return changes.outcomes.select("status", "processed_records")
+    raise CommitConflict(f"{ATTEMPTS} commits were overtaken by other loads")
+
+
+def split_runs(facts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Runs that can be registered, and those that cannot; neither has a payload.
 
     A run is keyed by source and run id. One without them is rejected; so is a run
     found in a second folder, where the first by path counts.
     """
     keyed = F.col("source_id").isNotNull() & F.col("run_id").isNotNull()
-    facts = discovered.drop("payload")
     places = facts.where(keyed).groupBy(*_RUN).agg(F.min("raw_path").alias("raw_path"))
     again = facts.where(keyed).join(places, [*_RUN, "raw_path"], "left_anti").withColumn(
         "run_error", F.lit("The same run was found in another folder")
     )
-    named = discovered.where(keyed).join(places, [*_RUN, "raw_path"], "left_semi").select(discovered.columns)
+    named = facts.where(keyed).join(places, [*_RUN, "raw_path"], "left_semi").select(facts.columns)
     return named, facts.where(~keyed).unionByName(again.select(facts.columns))
 
 

@@ -6,11 +6,12 @@ from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.errors import PySparkException
 
 from jobweft.schemas import MATCH_METHODS
+from jobweft.session import cut_lineage
 
 Tables = Mapping[str, DataFrame]
 
@@ -99,22 +100,52 @@ def run_checks(
 
     Returns (check, passed, violations, message); ``strict`` raises if one failed.
     """
+    return check_results(spark, tables, checks, strict=strict)[0]
+
+
+def check_results(
+    spark: SparkSession, tables: Tables, checks: dict[str, Check] | None = None, *, strict: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """What ``run_checks`` returns, and the rows that the checks found.
+
+    The rows are (check, kind, row): the rows of the report and those that violate the
+    check, as JSON. They are computed once and kept; the violations are counted in that
+    pass.
+    """
     checks = CHECKS if checks is None else checks
     if not checks:
         raise RuntimeError("No quality checks found")
-    results = []
+    results, found = [], [spark.createDataFrame([], _CHECK_ROWS)]
     for name in sorted(checks):
-        check = checks[name]
+        counted = Observation(name)
         try:
-            check.report(tables).write.format("noop").mode("overwrite").save()
-            found = check.violations(tables).count() if check.violations else 0
-            message = f"{found} violations" if found else None
+            rows = _check_rows(name, checks[name], tables)
+            violating = F.count_if(F.col("kind") == "violation").alias("violations")
+            found.append(cut_lineage(rows.observe(counted, violating)))
+            violations = counted.get["violations"]
+            message = f"{violations} violations" if violations else None
         except (PySparkException, KeyError) as error:
-            found, message = None, str(error)
-        results.append((name, found == 0, found, message))
+            violations, message = None, str(error)
+        results.append((name, violations == 0, violations, message))
     failed = [name for name, passed, *_ in results if not passed]
     if strict and failed:
         raise RuntimeError(f"Quality checks failed: {', '.join(failed)}")
-    return spark.createDataFrame(
+    summary = spark.createDataFrame(
         results, "check string, passed boolean, violations bigint, message string"
     ).orderBy("check")
+    return summary, reduce(DataFrame.unionByName, found)
+
+
+_CHECK_ROWS = "check string, kind string, row string"
+
+
+def _check_rows(name: str, check: Check, tables: Tables) -> DataFrame:
+    def shown(frame: DataFrame, kind: str) -> DataFrame:
+        return frame.select(
+            F.lit(name).alias("check"), F.lit(kind).alias("kind"), F.to_json(F.struct(*frame.columns)).alias("row")
+        )
+
+    rows = shown(check.report(tables), "report")
+    if check.violations:
+        rows = rows.unionByName(shown(check.violations(tables), "violation"))
+    return rows

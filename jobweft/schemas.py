@@ -70,6 +70,7 @@ LEDGER = {
     "processed_records": "int",
     "parser_version": "string",
     "error_message": "string",
+    "attempt_id": "string",
     "processing_started_at": "timestamp",
     "processed_at": "timestamp",
     "created_at": "timestamp",

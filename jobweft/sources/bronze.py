@@ -4,10 +4,16 @@ Two layouts hold the same rows. The file layout is one folder per run with
 ``response.json`` and ``metadata.json``; the table layout is parquet partitioned
 by board and day. Both are read into one *runs* frame: a row per snapshot with
 its payload as text.
+
+A load reads them in two steps (``RunFiles``, ``RunTable``, ``RunFrame``): ``facts``
+says which runs there are, without a payload, and ``with_payload`` reads the payloads
+of those that are left to do. Payloads are never shuffled.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,10 +28,111 @@ RUN_COLUMNS = [
 ]
 
 
+#: The same without the payload.
+FACT_COLUMNS = RUN_COLUMNS[:-1]
+
+
+def paired_folders(paths: DataFrame, path: str = "path") -> DataFrame:
+    """Folders (``run_dir``) that hold a metadata file and a response file.
+
+    One aggregate over the folders of the wanted files; a path in a folder of its own
+    or with another name counts for nothing.
+    """
+    name = F.element_at(F.split(path, "/"), -1)
+    wanted = paths.select(_run_dir(F.col(path)), name.alias("_name"))
+    both = F.bool_or(F.col("_name") == "metadata.json") & F.bool_or(F.col("_name") == "response.json")
+    wanted = wanted.where(F.col("_name").isin("metadata.json", "response.json"))
+    return wanted.groupBy("run_dir").agg(both.alias("_both")).where("_both").select("run_dir")
+
+
 def discover_runs(spark: SparkSession, root: str) -> DataFrame:
     """Folders below ``root`` that hold a metadata file beside a response file."""
-    metadata = _paths(spark, root, "metadata.json")
-    return metadata.join(_paths(spark, root, "response.json"), "run_dir", "left_semi")
+    files = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", "{metadata,response}.json")
+        .load(root)
+    )
+    return paired_folders(files.select("path"))
+
+
+@dataclass(frozen=True)
+class RunFiles:
+    """Runs of one adapter in the file layout."""
+
+    spark: SparkSession
+    root: str
+    adapter_id: str
+
+    def facts(self) -> DataFrame:
+        """One row per complete run; bodies are listed, not read."""
+        metadata = _texts(self.spark, self.root, "metadata.json", "metadata_text")
+        complete = metadata.join(discover_runs(self.spark, self.root), "run_dir", "left_semi")
+        return (
+            parse_run_metadata(complete, F.col("metadata_text"))
+            .withColumn("adapter_id", F.lit(self.adapter_id))
+            .withColumnRenamed("run_dir", "raw_path")
+            .select(FACT_COLUMNS)
+        )
+
+    def with_payload(self, todo: DataFrame) -> DataFrame:
+        """``todo`` with payloads: exactly the files of these runs are opened.
+
+        Their folders come to the driver; a load takes up a bounded number of runs
+        at a time.
+        """
+        folders = [r.raw_path for r in todo.select("raw_path").distinct().collect()]
+        if not folders:
+            return todo.withColumn("payload", F.lit(None).cast("string"))
+        bodies = _texts(self.spark, folders, "response.json", "payload")
+        return bodies.join(F.broadcast(todo), bodies.run_dir == todo.raw_path).drop("run_dir")
+
+
+@dataclass(frozen=True)
+class RunTable:
+    """Runs in the table layout; boards and days without a wanted run are not opened."""
+
+    spark: SparkSession
+    path: str
+
+    def facts(self) -> DataFrame:
+        return read_bronze(self.spark, self.path).select(FACT_COLUMNS)
+
+    def with_payload(self, todo: DataFrame) -> DataFrame:
+        """``todo`` with payloads; boards and days come to the driver, one for each run at most."""
+        place = F.split("raw_path", "/")
+        wanted = todo.withColumns(
+            {"_board": F.try_element_at(place, F.lit(-3)), "_day": F.try_element_at(place, F.lit(-2))}
+        )
+        days = wanted.select("_board", "_day").distinct().collect()
+        bodies = self.spark.read.parquet(self.path).where(
+            F.col("source_key").isin([d._board for d in days])
+            & F.col("ingest_date").cast("string").isin([d._day for d in days])
+        )
+        found = bodies.select(
+            "adapter_id", F.col("source_key").alias("_board"), F.col("ingest_date").cast("string").alias("_day"),
+            "run_id", F.col("payload").cast("string").alias("payload"),
+        )
+        met = found.join(F.broadcast(wanted), ["adapter_id", "_board", "_day", "run_id"])
+        return met.select(*todo.columns, "payload")
+
+
+@dataclass(frozen=True)
+class RunFrame:
+    """A runs frame that is there already."""
+
+    frame: DataFrame
+
+    def facts(self) -> DataFrame:
+        return self.frame.select(FACT_COLUMNS)
+
+    def with_payload(self, todo: DataFrame) -> DataFrame:
+        keys = ["adapter_id", "source_id", "run_id", "raw_path"]
+        bodies = self.frame.select(*[F.col(c).alias(f"_{c}") for c in keys], "payload")
+        met = F.lit(True)
+        for key in keys:
+            met = met & (F.col(f"_{key}") == F.col(key))
+        return bodies.join(F.broadcast(todo), met).select(*todo.columns, "payload")
 
 
 def read_run_files(
@@ -164,7 +271,7 @@ def read_bronze(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def _texts(spark: SparkSession, root: str, name: str, column: str) -> DataFrame:
+def _texts(spark: SparkSession, root: str | list[str], name: str, column: str) -> DataFrame:
     files = (
         spark.read.option("recursiveFileLookup", "true")
         .option("pathGlobFilter", name)
@@ -173,15 +280,5 @@ def _texts(spark: SparkSession, root: str, name: str, column: str) -> DataFrame:
     return files.select(_run_dir(F.col("_metadata.file_path")), F.col("value").alias(column))
 
 
-def _paths(spark: SparkSession, root: str, name: str) -> DataFrame:
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", name)
-        .load(root)
-    )
-    return files.select(_run_dir(F.col("path")))
-
-
 def _run_dir(path: Column) -> Column:
     return F.regexp_replace(path, "/[^/]+$", "").alias("run_dir")

@@ -21,7 +21,7 @@ from jobweft.plans.reports import (
     top_skills,
 )
 from jobweft.settings import boards_frame, load_boards
-from jobweft.sources.bronze import discover_runs, read_bronze, read_run_files, write_bronze
+from jobweft.sources.bronze import RunFiles, RunTable, discover_runs, read_bronze, read_run_files, write_bronze
 from jobweft.sources.silver import SilverTables
 from jobweft.streaming.bronze_stream import stream_loads
 
@@ -57,7 +57,7 @@ def job(number, title="Senior BI Developer", content="Airflow runs our nightly d
 
 def load(spark, bronze, silver, adapter="greenhouse", **options):
     tables = SilverTables(spark, str(silver))
-    summary = load_runs(spark, read_run_files(spark, str(bronze), adapter), tables, **options)
+    summary = load_runs(spark, RunFiles(spark, str(bronze), adapter), tables, **options)
     return tables, summary.first().asDict()
 
 
@@ -284,7 +284,7 @@ def test_unseeded_name_is_quarantined(spark, tmp_path):
     put_run(tmp_path / "b", "2026-01-01", "a", "greenhouse_mews", {"jobs": [job(1), job(2, "Cook")]}, at="2026-01-01")
     from jobweft.plans import load as module
 
-    seeded = module.seed_dimensions(spark, SilverTables(spark, str(tmp_path / "s")), rules)
+    seeded = module.missing_dimensions(spark, rules, SilverTables(spark, str(tmp_path / "s")).dimensions())
     seeded = seeded.where("name <> 'BI Developer'")
     runs = module.attribute_runs(
         read_run_files(spark, str(tmp_path / "b"), "greenhouse"), boards_frame(spark, rules.boards)
@@ -338,7 +338,133 @@ def test_a_load_that_died_is_repeated_without_doubles(spark, tmp_path, monkeypat
     with pytest.raises(OSError, match="lost"):
         load(spark, tmp_path / "b", tmp_path / "s")
     monkeypatch.undo()
-    empty = SilverTables(spark, str(tmp_path / "s"))
-    assert [empty.postings().count(), empty.ledger().count(), empty.errors().count()] == [0, 0, 0]
+    after = SilverTables(spark, str(tmp_path / "s"))
+    assert [after.postings().count(), after.errors().count()] == [0, 0]
+    assert {r.status for r in after.ledger().collect()} <= {"processing"}
     tables, _ = load(spark, tmp_path / "b", tmp_path / "s")
     assert [tables.postings().count(), tables.ledger().count(), tables.errors().count()] == [1, 1, 1]
+
+
+def two_boards(bronze):
+    put_run(bronze / "one", "d1", "r1", "greenhouse_mews", {"jobs": [job(1), job(2), {"title": "no id"}]}, at="2026-01-01")
+    put_run(bronze / "two", "d1", "r2", "greenhouse_mews", {"jobs": [job(1), job(3)]}, at="2026-01-02")
+
+
+@pytest.mark.parametrize("moment", ["_register", "_finish"])
+def test_two_loads_from_one_base_lose_nothing(spark, tmp_path, monkeypatch, moment):
+    """The second load commits while the first one is about to; the first plans again."""
+    two_boards(tmp_path / "b")
+    tables = SilverTables(spark, str(tmp_path / "s"))
+    original, calls = SilverTables.commit, []
+
+    def overtaken(self, parts, version):
+        calls.append(version)
+        if len(calls) == (1 if moment == "_register" else 2):
+            monkeypatch.setattr(SilverTables, "commit", original)
+            load(spark, tmp_path / "b" / "two", tmp_path / "s")
+            monkeypatch.setattr(SilverTables, "commit", overtaken)
+        original(self, parts, version)
+
+    monkeypatch.setattr(SilverTables, "commit", overtaken)
+    _, summary = load(spark, tmp_path / "b" / "one", tmp_path / "s")
+    monkeypatch.undo()
+    assert (summary["partial"], summary["records"]) == (1, 2)
+    assert {r.run_id: r.status for r in tables.ledger().collect()} == {"r1": "partial", "r2": "processed"}
+    # The newer run is complete and lacks job 2; what both have is the newer one's.
+    assert status_of(tables) == {"1": "active", "2": "inactive", "3": "active"}
+    assert {r.source_job_id: r.run_id for r in tables.postings().collect()} == {"1": "r2", "2": "r1", "3": "r2"}
+    assert tables.errors().count() == 1 and tables.dimensions().count() == tables.dimensions().distinct().count()
+
+
+def test_a_run_taken_over_meanwhile_is_left_to_its_new_owner(spark, tmp_path, monkeypatch):
+    """Both loads parse the run; one of them registers it later and finishes first."""
+    put_run(tmp_path / "b", "d1", "r1", "greenhouse_mews", {"jobs": [job(1), {"title": "no id"}]}, at="2026-01-01")
+    from jobweft.plans import load as module
+
+    original, seen = module._finish, []
+
+    def slow(spark, tables, batch):
+        if not seen:
+            seen.append(True)
+            load(spark, tmp_path / "b", tmp_path / "s")
+        return original(spark, tables, batch)
+
+    monkeypatch.setattr(module, "_finish", slow)
+    tables, summary = load(spark, tmp_path / "b", tmp_path / "s")
+    assert [tables.postings().count(), tables.ledger().count(), tables.errors().count()] == [1, 1, 1]
+    assert (summary["partial"], summary["skipped"]) == (0, 1)
+
+
+def test_a_load_killed_after_registration_is_taken_over(spark, tmp_path, monkeypatch):
+    put_run(tmp_path / "b", "d1", "r1", "greenhouse_mews", {"jobs": [job(1)]}, at=None)
+    from jobweft.plans import load as module
+
+    def killed(*_):
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(module, "parse_batch", killed)
+    with pytest.raises(KeyboardInterrupt):
+        load(spark, tmp_path / "b", tmp_path / "s")
+    monkeypatch.undo()
+    (left,) = SilverTables(spark, str(tmp_path / "s")).ledger().collect()
+    assert (left.status, left.processed_records, left.processed_at, left.parser_version) == ("processing", 0, None, None)
+    # Within the lease it is still the other attempt's.
+    tables, summary = load(spark, tmp_path / "b", tmp_path / "s", lease_seconds=3600)
+    assert (summary["skipped"], summary["processed"], tables.postings().count()) == (1, 0, 0)
+    tables, summary = load(spark, tmp_path / "b", tmp_path / "s")
+    (run,) = tables.ledger().collect()
+    assert (summary["processed"], run.status, run.created_at) == (1, "processed", left.created_at)
+    assert run.attempt_id != left.attempt_id and run.processing_started_at > left.processing_started_at
+    # A run without a time keeps the one it was registered with.
+    assert (run.retrieved_at, tables.postings().first().last_seen_at) == (left.retrieved_at, left.retrieved_at)
+
+
+def test_runs_are_taken_up_in_portions(spark, tmp_path):
+    for n in range(3):
+        jobs = [job(k, content=f"text {k}") for k in range(n, n + 2)]
+        put_run(tmp_path / "b", f"d{n}", f"r{n}", "greenhouse_mews", {"jobs": jobs}, at=f"2026-01-0{n + 1}")
+    put_run(tmp_path / "b", "d9", "r9", "greenhouse_mews", "{broken", at="2026-01-09", count=1)
+    _, summary = load(spark, tmp_path / "b", tmp_path / "many", runs_at_once=1)
+    assert (summary["processed"], summary["failed"], summary["records"], summary["skipped"]) == (3, 1, 6, 0)
+    columns = ["source_job_id", "status", "canonical_id", "last_seen_at", "run_id"]
+    whole, _ = load(spark, tmp_path / "b", tmp_path / "once")
+    many = SilverTables(spark, str(tmp_path / "many"))
+    assert sorted(many.postings().select(columns).collect()) == sorted(whole.postings().select(columns).collect())
+
+
+def test_second_load_opens_only_new_bodies_and_shuffles_none(spark, tmp_path, monkeypatch):
+    two_boards(tmp_path / "b")
+    load(spark, tmp_path / "b" / "one", tmp_path / "s")
+    from jobweft.plans import load as module
+
+    taken, original = [], module.parse_batch
+    monkeypatch.setattr(module, "parse_batch", lambda todo, *rest: taken.append(todo) or original(todo, *rest))
+    load(spark, tmp_path / "b", tmp_path / "s")
+    (todo,) = taken
+    assert [f.rsplit("/", 2)[1] for f in todo.inputFiles() if f.endswith("response.json")] == ["r2"]
+    # Up to the rows of advertisements, what is exchanged holds no payload.
+    rows = module.read_rows(todo, module.Rules().adapters)
+    text = rows._jdf.queryExecution().executedPlan().toString()
+    assert "payload" in text
+    for line in text.splitlines():
+        if "Exchange" in line and "BroadcastExchange" not in line:
+            assert "payload#" not in line
+
+
+def test_table_layout_reads_only_the_days_of_new_runs(spark, tmp_path, capsys):
+    path = str(tmp_path / "bronze")
+    body = json.dumps({"jobs": [job(1)]})
+    for company in ("Mews", "Mews"):
+        rows = spark.createDataFrame([("greenhouse_mews", company, body)], "source_key string, company string, payload string")
+        write_bronze(rows, path, "greenhouse")
+    table = RunTable(spark, path)
+    facts = table.facts().orderBy("run_id")
+    assert "payload" not in facts.columns and facts.count() == 2
+    one = table.with_payload(facts.limit(1))
+    assert [r.payload for r in one.collect()] == [body]
+    one.explain("formatted")
+    scans = [line for line in capsys.readouterr().out.splitlines() if line.startswith("PartitionFilters")]
+    assert any("source_key" in line and "= greenhouse_mews" in line and "ingest_date" in line for line in scans)
+    tables = SilverTables(spark, str(tmp_path / "s"))
+    assert load_runs(spark, table, tables).first().processed == 2
+    assert load_runs(spark, table, tables).first().skipped == 2

@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from jobweft.catalog import registered
-from jobweft.plans.quality import Check, run_checks
-from jobweft.sources.silver import SilverTables
+from jobweft.plans.quality import Check, check_results, count_mismatches, run_checks
+from jobweft.operators.ordering import run_order, with_ordinal
+from jobweft.sources.silver import CommitConflict, SilverTables
 
 
 def plan(frame):
@@ -66,20 +67,33 @@ def test_commits_hide_unfinished_versions_and_prune_folders(spark, tmp_path):
         return spark.range(1).select(*[known.get(c, v).alias(c) for c, v in fields.items()])
 
     def commit(board, version):
-        tables.commit(spark.createDataFrame([("postings", board)], "table_name string, part string"), version)
+        parts = spark.createDataFrame([("postings", board)], "table_name string, part string")
+        tables.snapshot().commit(parts, version)
 
-    first = tables.next_version()
-    tables.write_postings(rows("a", 9).unionByName(rows("b", 9)), tables.next_version())  # dies before its commit
+    first = tables.snapshot().next_version()
+    # Dies before its commit.
+    tables.write_postings(rows("a", 9).unionByName(rows("b", 9)), tables.snapshot().next_version())
     tables.write_postings(rows("a", 1).unionByName(rows("b", 1)), first)
     assert tables.postings().count() == 0
     commit("a", first)
     commit("b", first)
-    second = tables.next_version()
+    pinned = tables.snapshot()
+    second = pinned.next_version()
     tables.write_postings(rows("a", 2), second)
     assert sorted(r.posting_key for r in tables.postings().collect()) == ["a/1", "b/1"]
     commit("a", second)
     assert sorted(r.posting_key for r in tables.postings().collect()) == ["a/2", "b/1"]
-    assert tables.next_version().startswith("000000000003-") and tables.next_version() != tables.next_version()
+    assert sorted(r.posting_key for r in pinned.postings().collect()) == ["a/1", "b/1"]
+    newest = tables.snapshot()
+    assert newest.next_version().startswith("000000000004-") and newest.next_version() != newest.next_version()
+    # A commit from tables that are no longer the newest is refused and leaves nothing.
+    late = pinned.next_version()
+    tables.write_postings(rows("b", 3), late)
+    with pytest.raises(CommitConflict):
+        pinned.commit(spark.createDataFrame([("postings", "b")], "table_name string, part string"), late)
+    assert sorted(r.posting_key for r in tables.postings().collect()) == ["a/2", "b/1"]
+    with pytest.raises(ValueError, match="snapshot"):
+        tables.next_version()
 
 
 def test_check_runner(spark):
@@ -98,3 +112,44 @@ def test_check_runner(spark):
         run_checks(spark, {"ledger": ledger}, checks, strict=True)
     with pytest.raises(RuntimeError, match="No quality checks found"):
         run_checks(spark, {}, {})
+
+
+def test_ordinals_are_gapless_and_sorted_by_ranges(spark):
+    rows = spark.range(5000).select((F.col("id") % 7).alias("k"), F.when(F.col("id") % 3 > 0, "hot").alias("v"))
+    numbered = with_ordinal(rows, ["k", "v"])
+    text = plan(numbered)
+    assert "SinglePartition" not in text
+    got = [(r.k, r.v or "") for r in numbered.orderBy("ordinal").collect()]
+    assert got == sorted(got) and sorted(r.ordinal for r in numbered.collect()) == list(range(5000))
+    assert with_ordinal(rows.limit(0), ["k"]).count() == 0
+
+
+def test_runs_of_unknown_sources_come_last(spark):
+    runs = spark.createDataFrame([("b", "1"), ("x", "0"), ("a", "2"), ("a", "1"), (None, "9")], "adapter_id string, raw_path string")
+    sources = spark.createDataFrame([("b", 0), ("a", 1)], "adapter_id string, source_ord int")
+    rows = run_order(runs, sources).orderBy("ordinal").collect()
+    assert [(r.adapter_id, r.raw_path) for r in rows] == [("b", "1"), ("a", "1"), ("a", "2"), (None, "9"), ("x", "0")]
+
+
+def test_checks_return_their_rows_and_are_read_once(spark):
+    reads = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        reads.add(1)
+        yield from batches
+
+    ledger = spark.createDataFrame(
+        [("s", "r", "processed", 3, 2), ("s", "t", "failed", None, 0)],
+        "source_id string, run_id string, status string, record_count int, processed_records int",
+    ).coalesce(1)
+    checks = {
+        "a": Check(report=lambda t: t["ledger"].mapInArrow(seen, t["ledger"].schema).select("run_id")),
+        "b": Check(report=lambda t: t["ledger"].select("status"), violations=lambda t: count_mismatches(t["ledger"])),
+        "c": Check(report=lambda t: t["ledger"].select(F.raise_error(F.lit("broken")).alias("x"))),
+    }
+    summary, rows = check_results(spark, {"ledger": ledger}, checks)
+    assert [(r.check, r.passed, r.violations) for r in summary.collect()] == [("a", True, 0), ("b", False, 1), ("c", False, None)]
+    found = sorted((r.check, r.kind, r.row) for r in rows.collect())
+    assert found[:2] == [("a", "report", '{"run_id":"r"}'), ("a", "report", '{"run_id":"t"}')]
+    assert [f[:2] for f in found[2:]] == [("b", "report")] * 2 + [("b", "violation")]
+    assert reads.value == 1
