@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobweft.catalog.inputs import TERMS, TOPICS, hits_cte, table
+from jobweft.operators.alias_index import all_names, first_name, with_hits
 from jobweft.operators.dictionary import find_first_of, key_tokens
 
 _TEXTS = "texts AS (SELECT doc_id AS id, text AS body FROM documents)"
@@ -107,10 +108,56 @@ LEFT JOIN t ON t.id = doc_id LEFT JOIN b ON b.id = doc_id
 """
 
 
+def dict_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names found in every document with the words and word pairs of all benchmark items as aliases.
+
+    The name of an alias is the first item that has it.
+    """
+    items = table(spark, sf_dir, "benchmark").select("item_id", F.lower("text").alias("text"))
+    word = r"([\p{L}\p{N}_]+)([^\p{L}\p{N}_]*)"
+    words, gaps = (F.regexp_extract_all("text", F.lit(word), n) for n in (1, 2))
+    cut = items.select("item_id", words.alias("w"), gaps.alias("g"))
+    pairs = F.filter(
+        F.transform("w", lambda w, i: F.when((F.get("g", i) == " ") & (i < F.size("w") - 1), F.concat(w, F.lit(" "), F.get("w", i + 1)))),
+        lambda p: p.isNotNull(),
+    )
+    aliases = cut.select("item_id", F.explode(F.concat("w", pairs)).alias("alias")).groupBy("alias").agg(
+        F.concat(F.lit("item "), F.min("item_id").cast("string")).alias("name")
+    )
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = with_hits(docs, aliases, "doc_id", "text")
+    return found.select(
+        "doc_id", F.size("hits").alias("n_aliases"), first_name().alias("first"), F.array_join(all_names(), "|").alias("names"),
+    )
+
+
+_CUT = r"""SELECT {id}, regexp_extract_all(lower(text), '([\p{{L}}\p{{N}}_]+)([^\p{{L}}\p{{N}}_]*)', 1) AS w,
+    regexp_extract_all(lower(text), '([\p{{L}}\p{{N}}_]+)([^\p{{L}}\p{{N}}_]*)', 2) AS g FROM {table}"""
+_GRAMS = """SELECT {id}, i, w[i] AS gram, 1 AS n FROM (SELECT {id}, w, unnest(range(1, len(w) + 1)) AS i FROM {cut})
+  UNION ALL SELECT {id}, i, w[i] || ' ' || w[i + 1], 2
+  FROM (SELECT {id}, w, g, unnest(range(1, len(w))) AS i FROM {cut}) WHERE g[i] = ' '"""
+
+DICT_LARGE = f"""
+WITH item_cut AS ({_CUT.format(id="item_id", table="benchmark")}),
+doc_cut AS ({_CUT.format(id="doc_id", table="documents")}),
+item_grams AS ({_GRAMS.format(id="item_id", cut="item_cut")}),
+doc_grams AS ({_GRAMS.format(id="doc_id", cut="doc_cut")}),
+aliases AS (SELECT gram, 'item ' || MIN(item_id) AS name FROM item_grams GROUP BY gram),
+hits AS (SELECT doc_id, gram, name, n, MIN(i) AS i FROM doc_grams JOIN aliases USING (gram) GROUP BY ALL),
+firsts AS (SELECT doc_id, name, MIN(i) AS i FROM hits GROUP BY ALL),
+lists AS (SELECT doc_id, string_agg(name, '|' ORDER BY i, name) AS names FROM firsts GROUP BY doc_id),
+best AS (SELECT doc_id, name, row_number() OVER (PARTITION BY doc_id ORDER BY i, n DESC, name) AS k FROM hits),
+counts AS (SELECT doc_id, COUNT(*) AS n FROM hits GROUP BY doc_id)
+SELECT doc_id, COALESCE(c.n, 0)::INT AS n_aliases, b.name AS first, COALESCE(names, '') AS names
+FROM documents LEFT JOIN counts c USING (doc_id) LEFT JOIN lists USING (doc_id) LEFT JOIN (SELECT * FROM best WHERE k = 1) b USING (doc_id)
+"""
+
+
 QUERIES = {
     "dict_first": (dict_first, DICT_FIRST),
     "dict_all": (dict_all, DICT_ALL),
     "dict_nonoverlap": (dict_nonoverlap, DICT_NONOVERLAP),
     "title_first_fallback": (title_first_fallback, TITLE_FIRST_FALLBACK),
+    "dict_large": (dict_large, DICT_LARGE),
     "modes_metadata_first": (dict_names_missing, DICT_NAMES_MISSING),
 }

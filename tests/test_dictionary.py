@@ -6,6 +6,8 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from jobweft.operators import alias_index
+from jobweft.operators.alias_index import all_names, first_name, non_overlapping_names, with_hits
 from jobweft.operators.dictionary import (
     AliasDictionary,
     aliases_frame,
@@ -130,3 +132,42 @@ def test_list_of_tables_is_read_and_a_missing_section_is_an_error(tmp_path):
     assert loaded.rules == [("A", ("a", "b")), ("B", ())]
     with pytest.raises(ValueError, match="'roles' is missing"):
         load_dictionary(path, "roles")
+
+
+def test_index_equals_expressions(spark):
+    """Texts of aliases, pieces of them and odd letters, against one expression for each alias."""
+    rng = random.Random(4)
+    small = AliasDictionary(
+        "x",
+        [
+            ("C++", ["c++", "cpp"]), ("C", ["c"]), ("dot", [".NET", "asp.net core"]), ("plus", ["++"]), ("long", ["one two three four", "one two three"]),
+            ("street", ["Straße", "STRASSE"]), ("greek", ["ΟΔΟΣ"]), ("micro", ["µm"]), ("turk", ["istanbul"]), ("quote", ["a\\Eb", "it's"]), ("wide", ["🙂 ok"]),
+        ],
+    )
+    bits = [a.alias for a in small.aliases] + [
+        " ", " ", "_", ".", "x", "İstanbul", "ıstanbul", "STRAẞE", "οδος", "οδοσ", "μm", "one", "two", "three", "\n", ",", "1", "é",
+    ]
+    rows = [(i, "".join(rng.choices(bits, k=rng.randrange(12)))) for i in range(600)] + [(1000, None), (1001, "")]
+    texts = spark.createDataFrame(rows, "id long, text string")
+    found = with_hits(texts, aliases_frame(spark, {"x": small}), "id", "text")
+    got = found.select("id", all_names().alias("a"), first_name().alias("f"), non_overlapping_names().alias("n")).collect()
+    want = texts.select("id", small.find_all("text").alias("a"), small.find_first("text").alias("f"), small.find_non_overlapping("text").alias("n"))
+    want = {r.id: (r.a or [], r.f, r.n or []) for r in want.collect()}
+    assert {r.id: (r.a, r.f, r.n) for r in got} == want and sum(bool(w[0]) for w in want.values()) > 200
+    assert with_hits(texts.limit(0), aliases_frame(spark, {"x": small}), "id", "text").count() == 0
+    nothing = with_hits(texts, aliases_frame(spark, {"x": small}).limit(0), "id", "text")
+    assert {len(r.hits) for r in nothing.collect()} == {0}
+
+
+def test_index_plan_does_not_grow_with_the_dictionary(spark, monkeypatch):
+    texts = spark.createDataFrame([(1, "w7 w12"), (2, "w3000")], "id long, text string")
+    sizes = []
+    for n in (10, 4000):
+        aliases = spark.range(n).select(F.concat(F.lit("n"), "id").alias("name"), F.concat(F.lit("w"), "id").alias("alias"))
+        found = with_hits(texts, aliases, "id", "text")
+        sizes.append(len(found._jdf.queryExecution().optimizedPlan().toString()))
+    assert abs(sizes[0] - sizes[1]) < 200
+    assert {r.id: [h.name for h in r.hits] for r in found.orderBy("id").collect()}[2] == ["n3000"]
+    monkeypatch.setattr(alias_index, "BROADCAST_BYTES", 0)
+    shuffled = with_hits(texts, aliases, "id", "text")
+    assert {r.id: sorted(h.name for h in r.hits) for r in shuffled.collect()} == {1: ["n12", "n7"], 2: ["n3000"]}
