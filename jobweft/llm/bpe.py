@@ -41,6 +41,9 @@ WINDOW = 1 << 16
 #: Pieces whose tokens a task remembers: at most twice so many, of at most so many characters.
 KNOWN_PIECES, KNOWN_LENGTH = 1 << 18, 48
 
+#: Pieces whose tokens are found together.
+PIECES_AT_ONCE = 4096
+
 #: Up to so many bytes, all merges of a piece are looked through for each one made.
 SHORT_PIECE = 64
 
@@ -147,6 +150,10 @@ class Vocabulary:
             self.bytes_of[token["id"]] = (
                 bytes(letters[c] for c in token["content"]) if known else token["content"].encode()
             )
+        pairs = np.array([u << TOKEN_BITS | v for u, v in self.merges], np.int64)
+        order = np.argsort(pairs)
+        #: All merges once more, for many lookups at a time.
+        self.pairs, self.codes = pairs[order], np.array(list(self.merges.values()), np.int64)[order]
         self.longest = max(len(self.bytes_of[n]) for n in made)
         self.lookahead = self._lookahead()
 
@@ -180,6 +187,51 @@ class Vocabulary:
                 codes[at] = get((tokens[at], tokens[at + 1]), NEVER)
         return tokens
 
+    def merged_all(self, pieces: list[bytes]) -> list[list[int]]:
+        """``merged`` of many short pieces: every step makes the next merge of each of them.
+
+        A row of ``tokens`` is a piece and a row of ``codes`` the merges that its neighbours
+        allow. What a merge joins leaves a gap that the rest of the row closes, and two
+        codes of the row are looked up anew. Rows without a merge left are done.
+        """
+        width = max(map(len, pieces), default=0)
+        if width < 2:
+            return [self.merged(p) for p in pieces]
+        sizes = np.array([len(p) for p in pieces])
+        letters = np.frombuffer(b"".join(p.ljust(width, b"\0") for p in pieces), np.uint8).reshape(len(pieces), width)
+        tokens = np.where(np.arange(width) < sizes[:, None], np.array(self.first, np.int64)[letters], -1)
+        codes = self._codes(tokens[:, :-1], tokens[:, 1:])
+        rows, out, columns = np.arange(len(pieces)), [[]] * len(pieces), np.arange(width)
+        while len(rows):
+            at = codes.argmin(1)
+            best = codes[np.arange(len(rows)), at]
+            done = best == NEVER
+            if done.any():
+                ends = (tokens[done] >= 0).sum(1).tolist()
+                for row, found, end in zip(rows[done].tolist(), tokens[done].tolist(), ends):
+                    out[row] = found[:end]
+                rows, tokens, codes, at, best = (x[~done] for x in (rows, tokens, codes, at, best))
+            every = np.arange(len(rows))
+            tokens[every, at] = best & TOKEN_MASK
+            tokens = np.take_along_axis(
+                np.pad(tokens, ((0, 0), (0, 1)), constant_values=-1), columns + (columns > at[:, None]), 1
+            )
+            codes = np.take_along_axis(
+                np.pad(codes, ((0, 0), (0, 1)), constant_values=NEVER), columns[:-1] + (columns[:-1] >= at[:, None]), 1
+            )
+            for left in (at - 1, at):
+                some = (left >= 0) & (left < width - 1)
+                row, left = every[some], left[some]
+                codes[row, left] = self._codes(tokens[row, left], tokens[row, left + 1])
+        return out
+
+    def _codes(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Merges of neighbours, ``NEVER`` where there is none."""
+        wanted = left << TOKEN_BITS | right
+        place = np.minimum(np.searchsorted(self.pairs, wanted), len(self.pairs) - 1)
+        found = (self.pairs[place] == wanted) & (left >= 0) & (right >= 0)
+        return np.where(found, self.codes[place], NEVER)
+
     def _merged_by_heap(self, tokens: list[int]) -> list[int]:
         """The same for many tokens: neighbours are linked, and possible merges wait in a heap."""
         n, get = len(tokens), self.merges.get
@@ -245,18 +297,27 @@ class _Known(dict):
         super().__init__()
         self.vocabulary, self.older = vocabulary, {}
 
-    def __missing__(self, piece: str) -> list[int]:
-        if len(piece) > KNOWN_LENGTH:
-            transducer = Transducer(self.vocabulary)
-            return [*transducer.feed(piece.encode()), *transducer.finish()]
-        tokens = self.older.get(piece)
-        if tokens is None:
-            tokens = self.vocabulary.merged(piece.encode())
-        if len(self) >= KNOWN_PIECES:
+    def learn(self, pieces: Iterable[str]) -> None:
+        """Find the tokens of many pieces at once."""
+        new = [p for p in set(pieces) if p not in self]
+        if len(self) + len(new) > KNOWN_PIECES:
             self.older = dict(self)
             self.clear()
-        self[piece] = tokens
-        return tokens
+        older = self.older
+        self.update((p, older[p]) for p in new if p in older)
+        short = [p for p in new if p not in older and len(p) <= KNOWN_LENGTH]
+        for start in range(0, len(short), PIECES_AT_ONCE):
+            some = short[start : start + PIECES_AT_ONCE]
+            # Tuples of numbers cost the garbage collector nothing.
+            self.update(zip(some, map(tuple, self.vocabulary.merged_all([p.encode() for p in some]))))
+
+    def __missing__(self, piece: str) -> Iterable[int]:
+        tokens = self.older.get(piece)
+        if tokens is not None:
+            self[piece] = tokens
+            return tokens
+        transducer = Transducer(self.vocabulary)
+        return [*transducer.feed(piece.encode()), *transducer.finish()]
 
 
 class Encoder:
@@ -269,18 +330,32 @@ class Encoder:
 
     def ids(self, text: str) -> Iterator[int]:
         """Ids of a text; the strings of added tokens count as these tokens."""
-        return chain.from_iterable(self._runs(text))
-
-    def _runs(self, text: str) -> Iterator[Iterable[int]]:
+        for part in self._parts(text):
+            if isinstance(part, list):
+                self.known.learn(part)
+            yield from self._tokens(part)
+
+    def ids_of_all(self, texts: list[str]) -> Iterator[Iterable[int]]:
+        """Ids of several texts; the pieces of those within a window are learned together."""
+        parts = [list(self._parts(text)) if len(text) <= self.window else None for text in texts]
+        self.known.learn(chain.from_iterable(p for some in parts if some for p in some if isinstance(p, list)))
+        for text, some in zip(texts, parts):
+            yield self.ids(text) if some is None else chain.from_iterable(map(self._tokens, some))
+
+    def _tokens(self, part: list[str] | Iterable[int]) -> Iterable[int]:
+        return chain.from_iterable(map(self.known.__getitem__, part)) if isinstance(part, list) else part
+
+    def _parts(self, text: str) -> Iterator[list[str] | Iterable[int]]:
+        """Lists of whole pieces, and ids of what is no piece or too long for one."""
         at = 0
         for found in self.added.finditer(text) if self.added else ():
             yield from self._part(text, at, found.start())
-            yield [self.vocabulary.added[found.group()]]
+            yield (self.vocabulary.added[found.group()],)
             at = found.end()
         yield from self._part(text, at, len(text))
 
-    def _part(self, text: str, at: int, end: int) -> Iterator[Iterable[int]]:
-        """Runs of ids of ``text[at:end]``, which ends there for the pattern as well."""
+    def _part(self, text: str, at: int, end: int) -> Iterator[list[str] | Iterable[int]]:
+        """Parts of ``text[at:end]``, which ends there for the pattern as well."""
         run, open_piece = None, Transducer(self.vocabulary)
         while at < end:
             stop = min(at + self.window, end)
@@ -293,7 +368,7 @@ class Encoder:
                 yield open_piece.feed(window[:taken].encode())
                 at += taken
                 if not more:
-                    yield open_piece.finish()
+                    yield tuple(open_piece.finish())
                     run = None
                 continue
             newest = np.frombuffer(window.encode("utf-16-le"), np.uint16).max()
@@ -311,7 +386,7 @@ class Encoder:
                 if pieces[-1] == "'" and len(last) == 1:
                     # May become a contraction of two letters.
                     at -= len(pieces.pop())
-            yield chain.from_iterable(map(self.known.__getitem__, pieces))
+            yield pieces
 
 
 class Decoder:
@@ -367,8 +442,8 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
         encoder = _encoder(sent.value)
         for start, texts in text_blocks(batch, "text"):
             ids, ends = array("i"), [0]
-            for text in texts:
-                ids.extend(encoder.ids((text or b"").decode("utf-8", "replace")))
+            for found in encoder.ids_of_all([(text or b"").decode("utf-8", "replace") for text in texts]):
+                ids.extend(found)
                 ends.append(len(ids))
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(ids, np.int32)))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(start, len(texts)), lists], names=["doc_id", "ids"])
