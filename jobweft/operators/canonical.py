@@ -15,8 +15,8 @@ The rule is sequential, yet it is solved here with joins and aggregates only:
   comes before the first change or after the second founds a canonical, one in
   between joins. Both moments are minima over the block, so they are aggregates.
 * A follower can carry a canonical into another block. Its value depends on
-  strictly earlier postings only, so repeating the step until nothing changes
-  gives the sequential result.
+  strictly earlier postings only. Until it is known, a symbol stands for it, and
+  chains of symbols are shortened by doubling.
 
 No group is ever gathered in one task and no pairs are made: every step is a
 grouped minimum, combined before its shuffle, or a join with one row per group.
@@ -172,7 +172,17 @@ def _classified(new: DataFrame, linked: DataFrame) -> DataFrame:
 
 
 def _decide_heads(events: DataFrame, state: DataFrame) -> DataFrame:
-    """Canonical (``value``) of every head."""
+    """Canonical (``value``) of every head.
+
+    Heads whose canonical a follower carries into another block wait for each other.
+    A waiting head starts as a symbol for its own canonical. A round decides the heads
+    that see no two symbols which may yet turn out to be one (``_unsure_since``): they
+    found a canonical, or take one that is known, or the symbol of another head. Symbols
+    of symbols are then replaced by doubling, so a chain of any length takes a
+    logarithmic number of steps. Later rounds look only at blocks with an undecided
+    head. The first undecided head of all sees decided ones only, so each round decides
+    some.
+    """
     in_blocks = events.where(F.col("in_block"))
     heads = in_blocks.where(F.col("kind") == "head").select("posting_key", "ord", *_BLOCK, "level")
     carried = _carried(in_blocks, heads)
@@ -182,24 +192,87 @@ def _decide_heads(events: DataFrame, state: DataFrame) -> DataFrame:
 
     # Heads that no follower carries elsewhere cannot influence another block.
     sources = carried.select("head_key").distinct()
-    values = events.where(F.col("kind") == "fixed").select(
-        F.col("posting_key").alias("head_key"), "value"
+    known = events.where(F.col("kind") == "fixed").select(
+        F.col("posting_key").alias("head_key"), "value", F.lit(True).alias("done")
     ).join(sources, "head_key", "left_semi")
-    waiting = heads.join(sources.withColumnRenamed("head_key", "posting_key"), "posting_key", "left_semi")
-    known = values
-    while True:
-        arriving = carried.join(known, "head_key").select(*_BLOCK, "level", "ord", "value")
-        decided = _resolve(waiting, fixed.unionByName(arriving), state, all_heads=heads)
-        newer = cut_lineage(
-            values.unionByName(decided.select(F.col("posting_key").alias("head_key"), "value"))
+    undecided = cut_lineage(
+        heads.join(sources.withColumnRenamed("head_key", "posting_key"), "posting_key", "left_semi")
+    )
+    while not undecided.isEmpty():
+        waiting = undecided.select(
+            F.col("posting_key").alias("head_key"), F.col("posting_key").alias("value"), F.lit(False).alias("done")
+        )
+        blocks = cut_lineage(undecided.select(*_BLOCK).distinct())
+        near_heads, near_state = (frame.join(blocks, _BLOCK, "left_semi") for frame in (heads, state))
+        arriving = carried.join(blocks, _BLOCK, "left_semi").join(known.unionByName(waiting), "head_key")
+        given = cut_lineage(
+            fixed.join(blocks, _BLOCK, "left_semi").withColumn("done", F.lit(True))
+            .unionByName(arriving.select(*_BLOCK, "level", "ord", "value", "done"))
+        )
+        unsure = _unsure_since(near_heads, given, near_state)
+        values = _resolve(undecided, given.drop("done"), near_state, all_heads=near_heads)
+        decided = cut_lineage(
+            undecided.join(unsure, _BLOCK, "left").where(F.col("unsure").isNull() | (F.col("ord") < F.col("unsure")))
+            .select("posting_key").join(values, "posting_key").withColumnRenamed("posting_key", "head_key")
+        )
+        undecided = cut_lineage(
+            undecided.join(decided.select(F.col("head_key").alias("posting_key")), "posting_key", "left_anti")
         )
-        if newer.join(known, ["head_key", "value"], "left_anti").isEmpty():
-            break
-        known = newer
+        known = _followed(known, decided, undecided)
     arriving = carried.join(known, "head_key").select(*_BLOCK, "level", "ord", "value")
     return _resolve(heads, fixed.unionByName(arriving), state)
 
 
+def _unsure_since(heads: DataFrame, given: DataFrame, state: DataFrame) -> DataFrame:
+    """Per block, when two values are there that may be one (``unsure``, NULL if never).
+
+    ``given`` says of its values whether they are final (``done``). Those from the start
+    and those that heads found are. All earlier heads of the block are sure.
+    """
+    moment = F.struct("ord", "value", "done")
+    own = heads.select(*_BLOCK, "ord", F.col("posting_key").alias("value"), F.lit(True).alias("done"))
+    firsts = (
+        own.unionByName(given.drop("level")).groupBy(*_BLOCK).agg(F.min(moment).alias("_first"))
+        .join(state.groupBy(*_BLOCK).agg(F.min("s_low").alias("_low")), _BLOCK, "left")
+        .select(
+            *_BLOCK, F.coalesce("_low", "_first.value").alias("_value"),
+            (F.col("_low").isNotNull() | F.col("_first.done")).alias("_done"),
+        )
+    )
+    open_pair = (F.col("value") != F.col("_value")) & ~(F.col("done") & F.col("_done"))
+    return given.join(firsts, _BLOCK).where(open_pair).groupBy(*_BLOCK).agg(F.min("ord").alias("unsure"))
+
+
+def _followed(known: DataFrame, decided: DataFrame, undecided: DataFrame) -> DataFrame:
+    """``known`` with the decided heads: symbols are followed to what they stand for.
+
+    A value that is a symbol becomes what its head has, and that for all heads at once,
+    so the way to the end halves in each step. What ends at an undecided head stays a
+    symbol for it.
+    """
+    last = undecided.select(
+        F.col("posting_key").alias("head_key"), F.col("posting_key").alias("value"), F.lit(False).alias("done")
+    )
+    own = F.col("value") == F.col("head_key")
+    table = known.unionByName(decided.withColumn("done", own))
+    moving = True
+    while moving:
+        table = cut_lineage(table)
+        far = table.unionByName(last).select(
+            F.col("head_key").alias("_at"), F.col("value").alias("_value"), F.col("done").alias("_done")
+        )
+        steps = table.where(~F.col("done")).join(far, F.col("value") == F.col("_at"), "left")
+        # A value that is no head's is a canonical from before.
+        stepped = cut_lineage(
+            steps.select(
+                "head_key", "value", F.coalesce("_value", "value").alias("next"), F.coalesce("_done", F.lit(True)).alias("done")
+            )
+        )
+        moving = not stepped.where(~F.col("done") & (F.col("next") != F.col("value"))).isEmpty()
+        table = table.where("done").unionByName(stepped.select("head_key", F.col("next").alias("value"), "done"))
+    return cut_lineage(table)
+
+
 def _carried(in_blocks: DataFrame, heads: DataFrame) -> DataFrame:
     """First arrival of every head's canonical in a block level other than its own."""
     home = heads.select(
@@ -326,10 +399,12 @@ def _switches(heads: DataFrame, given: DataFrame, state: DataFrame) -> DataFrame
     founds = (F.col("many_any") | (F.col("ord") > F.col("t_any"))) & (
         F.col("t1").isNull() | (F.col("ord") > F.col("t1"))
     )
+    wide, own = reaching.where(F.col("from_level") == _ANY), reaching.where(F.col("from_level") != _ANY)
+    met = wide.drop("from_level").join(named, _BLOCK).unionByName(
+        own.withColumnRenamed("from_level", "level").join(named, key)
+    )
     changes = (
-        reaching.join(named, _BLOCK)
-        .where(F.col("from_level").isin(_ANY) | (F.col("from_level") == F.col("level")))
-        .where(F.when(F.col("is_head"), founds).otherwise(F.col("value") != F.col("c1")))
+        met.where(F.when(F.col("is_head"), founds).otherwise(F.col("value") != F.col("c1")))
         .groupBy(*key)
         .agg(F.min("ord").alias("t2"))
     )

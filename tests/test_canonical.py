@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from jobweft.operators import canonical
 from jobweft.operators.canonical import assign_canonical, fallback_candidates
 
 NEW = (
@@ -125,3 +126,32 @@ def test_fallback_candidates_count_like_pairs(spark):
             and (p[4] is None or level is None or p[4] == level)
         }
         assert got[key] == ((min(found), max(found)) if found else (None, None))
+
+
+def test_a_long_chain_of_carried_canonicals_takes_few_rounds(spark, monkeypatch):
+    """Each head joins what a copy of the head before carried into its block."""
+    steps, new = 1000, []
+    for i in range(steps):
+        new.append((f"h{i:04d}", "c", f"f{i}", f"r{i}", None, ["x"], 2 * i))
+        new.append((f"k{i:04d}", "c", f"f{i}", f"r{i + 1}", None, ["x"], 2 * i + 1))
+    kept, rounds, cut, resolve = [], [], canonical.cut_lineage, canonical._resolve
+    monkeypatch.setattr(canonical, "cut_lineage", lambda df: kept.append(1) or cut(df))
+    monkeypatch.setattr(canonical, "_resolve", lambda *a, **k: rounds.append(1) or resolve(*a, **k))
+    got = {r.posting_key: r.canonical_id for r in assign_canonical(spark.createDataFrame(new, NEW)).collect()}
+    assert set(got.values()) == {"h0000"} and len(got) == 2 * steps
+    # One round decides all of them, ten doublings follow 1,000 symbols.
+    assert len(rounds) == 2 and len(kept) < 45
+
+
+def test_symbols_that_turn_out_to_be_one(spark):
+    """Two copies bring one canonical into a block by different ways; a third way differs."""
+    new = [
+        ("a", "c", "fa", "r1", None, ["x"], 1), ("a2", "c", "fa", "r2", None, ["x"], 2), ("a3", "c", "fa", "r3", None, ["x"], 3),
+        ("b", "c", "fb", "r2", None, ["x"], 4), ("d", "c", "fd", "r3", None, ["x"], 5),
+        ("b2", "c", "fb", "r4", None, ["x"], 6), ("d2", "c", "fd", "r4", None, ["x"], 7), ("e", "c", "fe", "r4", None, ["x"], 8),
+        ("e2", "c", "fe", "r5", None, ["x"], 9), ("z", "c", "fz", "r6", None, ["x"], 10), ("z2", "c", "fz", "r5", None, ["x"], 11),
+        ("y", "c", "fy", "r5", None, ["x"], 12), ("y2", "c", "fy", "r6", None, ["x"], 13), ("w", "c", "fw", "r6", None, ["x"], 14),
+    ]
+    got = {r.posting_key: r.canonical_id for r in assign_canonical(spark.createDataFrame(new, NEW)).collect()}
+    assert got == one_by_one(new, [])
+    assert got["e"] == "a" and got["y"] == "y"
