@@ -135,12 +135,19 @@ class Forms:
         return int("".join(str(int(c, 36)) for c in text)) % 97
 
     def date(self, text: str) -> str | None:
-        """A day between 1900 and 2099 becomes another one, written the same way."""
+        """A day between 1900 and 2099 becomes another one, written the same way.
+
+        With slashes, a first number above 12 is a day, any other a month. The former
+        texts are permuted among themselves, by going on until the day is above 12
+        again; so no text can be read in the other way afterwards.
+        """
         parts = re.findall(r"\d+", text)
+        slashes = text[len(parts[0])] == "/"
+        day_first = slashes and int(parts[0]) > 12
         if len(parts[0]) == 4:
             order = (0, 1, 2)
         else:
-            order = (2, 1, 0) if text[len(parts[0])] == "." or int(parts[0]) > 12 else (2, 0, 1)
+            order = (2, 0, 1) if slashes and not day_first else (2, 1, 0)
         try:
             day = datetime.date(*(int(parts[i]) for i in order))
         except ValueError:
@@ -150,6 +157,8 @@ class Forms:
             return None
         span = (last - first).days + 1
         new = first + datetime.timedelta(self.move("date", span, (day - first).days))
+        while day_first and new.day <= 12:
+            new = first + datetime.timedelta(self.move("date", span, (new - first).days))
         fields = dict(zip(order, (new.year, new.month, new.day), strict=True))
         out, at = [], 0
         for i, part in enumerate(parts):
@@ -187,16 +196,29 @@ class Forms:
         return f"{areas[area]:03d}-{group + 1:02d}-{serial + 1:04d}"
 
     def email(self, text: str) -> str | None:
-        """Letters and digits before the @ are permuted; other characters and the domain stay."""
+        """Letters (of any script) and digits before the @ are permuted; other characters and the domain stay."""
         local, _, domain = text.rpartition("@")
-        lettered = self.text_in("mail/letters/" + re.sub(r"\d", "0", re.sub(r"[^\W\d_]", "a", local)), local.lower(), LETTERS)
-        return self.text_in("mail/digits", lettered, DIGITS) + "@" + domain
+        local = local.lower()
+        shape = re.sub(r"\d", "0", re.sub(r"[^\W\d_]", "a", local))
+        for name, alphabet in (("letters", LETTERS), *OTHER_LETTERS.items()):
+            if name == "letters" or not local.isascii():
+                local = self.text_in(f"mail/{name}/{shape}", local, alphabet)
+        return self.text_in("mail/digits", local, DIGITS) + "@" + domain
 
     def secret(self, text: str) -> str | None:
         """A quoted run of hexadecimal digits."""
         return self.text_in("hex", text, HEX if text == text.lower() else HEX.upper())
 
 
+#: Letters of mail names beyond a to z, by ranges of code points; those of a range take each other's places.
+OTHER_LETTERS = {
+    name: "".join(c for c in map(chr, range(first, last)) if c.isalpha() and c.lower() == c)
+    for name, first, last in (
+        ("latin", 0xAA, 0x250), ("greek", 0x370, 0x400), ("cyrillic", 0x400, 0x530), ("near east", 0x530, 0x900),
+        ("south asia", 0x900, 0x1100), ("kana", 0x3040, 0x3100), ("han", 0x4E00, 0xA000), ("hangul", 0xAC00, 0xD7A4),
+    )
+}
+
 #: What is looked for, in this order at each place. Fixed values.
 PATTERNS = [
     ("email", r"(?<![\w.+-])[^\W_][\w.+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"),
@@ -227,8 +249,8 @@ CAPITALS = re.compile(r"(?: [A-Z]{1,4}\b){0,8}")
 #: Every form has a digit or an @; most texts are passed over by this alone.
 ANCHORS = re.compile(r"[0-9@](?:.{0,40}[0-9@])*", re.DOTALL)
 SPACE = re.compile(r"\s")
-#: Code points before the first anchor that a form can begin at (the longest mail name).
-REACH = 65
+#: Code points before the first anchor that a form other than a mail address can begin at.
+REACH = 8
 
 
 def iban_ends(text: str, start: int, end: int) -> list[int]:
@@ -238,6 +260,13 @@ def iban_ends(text: str, start: int, end: int) -> list[int]:
     return sorted(ends, key=lambda at: (at - start - text.count(" ", start, at) != length, -at))
 
 
+def name_start(text: str, at: int, least: int) -> int:
+    """Where the run of characters of a mail name that ends before ``at`` begins, however long it is."""
+    while at > least and (text[at - 1].isalnum() or text[at - 1] in "_.+-"):
+        at -= 1
+    return at
+
+
 def replacements(text: str, forms: Forms):
     """Valid values with their pseudonyms, as ``(form, start, end, pseudonym)``, looked for around digits and @ only.
 
@@ -249,7 +278,7 @@ def replacements(text: str, forms: Forms):
             continue
         stop = SPACE.search(text, near.end())
         end = CAPITALS.match(text, stop.start()).end() if stop else len(text)
-        at = max(at, near.start() - REACH)
+        at = max(at, min(near.start() - REACH, name_start(text, near.start(), at)))
         while found := FINDER.search(text, at, end):
             form, (start, last) = found.lastgroup, found.span()
             ends = iban_ends(text, start, last) if form == "iban" else [last]
@@ -280,7 +309,7 @@ def replace_personal_data(
     """``(doc_id, text, n_replaced, spans)`` for every row, in one pass without a shuffle.
 
     ``spans`` lists form, start and length (code points) in the new text. Recognised
-    are e-mail addresses, IBANs, quoted hexadecimal secrets, network addresses,
+    are e-mail addresses (names of any length and script), IBANs, quoted hexadecimal secrets, network addresses,
     dates, card and telephone numbers and nine-digit national numbers; what fails its
     form's check is left as it is, except that a run of 13 to 19 digits with a wrong
     check digit is replaced too, its error kept. ``inverse`` undoes it with the same
