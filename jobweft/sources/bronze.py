@@ -84,7 +84,7 @@ class RunFiles:
         folders = [r.raw_path for r in todo.select("raw_path").distinct().collect()]
         if not folders:
             return todo.withColumn("payload", F.lit(None).cast("string"))
-        bodies = _texts(self.spark, folders, "response.json", "payload")
+        bodies = folder_texts(self.spark, folders, "response.json", "payload")
         return bodies.join(F.broadcast(todo), bodies.run_dir == todo.raw_path).drop("run_dir")
 
 
@@ -223,11 +223,29 @@ RECORD_COUNT_RULES = {
 }
 
 
+#: What a request for a snapshot was and how it was answered; snapshots may come without.
+REQUEST_COLUMNS = {
+    "endpoint": "string", "method": "string", "request_params": "map<string,string>", "http_status": "int",
+    "content_type": "string", "context": "map<string,string>",
+}
+
+
 def with_landing_columns(df: DataFrame, adapter_id: str) -> DataFrame:
-    """Add run id, hash, size, count and day to rows of (source_key, company, payload)."""
+    """Add run id, hash, size, count and day to rows of (source_key, company, payload).
+
+    The request columns are kept where the rows have them, and null elsewhere; the
+    context always names company and board.
+    """
     body = F.col("payload").cast("binary")
+    given = {c: F.col(c) if c in df.columns else F.lit(None) for c in REQUEST_COLUMNS}
+    known = F.create_map(F.lit("company"), F.col("company"), F.lit("source_key"), F.col("source_key"))
+    more = F.coalesce(given["context"].cast(REQUEST_COLUMNS["context"]), F.create_map().cast(REQUEST_COLUMNS["context"]))
+    others = F.map_filter(more, lambda k, _: ~k.isin("company", "source_key"))
     return (
-        df.withColumn("adapter_id", F.lit(adapter_id))
+        df.withColumns({c: column.cast(REQUEST_COLUMNS[c]) for c, column in given.items()})
+        .withColumn("method", F.coalesce(F.upper("method"), F.lit("GET")))
+        .withColumn("context", F.map_concat(known, others))
+        .withColumn("adapter_id", F.lit(adapter_id))
         .withColumn("source_id", F.col("source_key"))
         .withColumn("run_id", F.replace(F.uuid(), F.lit("-"), F.lit("")))
         .withColumn("retrieved_at", F.current_timestamp())
@@ -280,5 +298,12 @@ def _texts(spark: SparkSession, root: str | list[str], name: str, column: str) -
     return files.select(_run_dir(F.col("_metadata.file_path")), F.col("value").alias(column))
 
 
+def folder_texts(spark: SparkSession, folders: list[str], name: str, column: str) -> DataFrame:
+    """Texts of one file of each folder, ``(run_dir, column)``; no folders give no rows."""
+    if not folders:
+        return spark.createDataFrame([], f"run_dir string, {column} string")
+    return _texts(spark, folders, name, column)
+
+
 def _run_dir(path: Column) -> Column:
     return F.regexp_replace(path, "/[^/]+$", "").alias("run_dir")

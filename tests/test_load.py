@@ -232,6 +232,40 @@ def test_stream_equals_batch(spark, tmp_path):
     assert {r.status for r in streamed.ledger().collect()} == {"processed"}
 
 
+def test_stream_takes_up_what_failed(spark, tmp_path):
+    """A broken run is repaired and a partial one is read again; no new file arrives for either."""
+    bronze, silver = tmp_path / "bronze", str(tmp_path / "silver")
+    put_run(bronze, "d1", "r1", "greenhouse_mews", "{broken", at="2026-02-01", count=1)
+    put_run(bronze, "d1", "r2", "greenhouse_mews", {"jobs": [job(2), {"title": "no id"}]}, at="2026-02-02")
+
+    def start(**options):
+        stream_loads(spark, str(bronze), "greenhouse", silver, str(tmp_path / "checkpoint"), **options).awaitTermination()
+        return {r.run_id: r.status for r in SilverTables(spark, silver).ledger().collect()}
+
+    assert start() == {"r1": "failed", "r2": "partial"}
+    (bronze / "d1" / "r1" / "response.json").write_text(json.dumps({"jobs": [job(1)]}))
+    (bronze / "d1" / "r2" / "response.json").write_text(json.dumps({"jobs": [job(2), job(3)]}))
+    assert start() == {"r1": "processed", "r2": "partial"}
+    assert start(retry_partial=True) == {"r1": "processed", "r2": "processed"}
+    assert sorted(status_of(SilverTables(spark, silver))) == ["1", "2", "3"]
+
+
+def test_landing_keeps_the_request(spark, tmp_path):
+    rows = spark.createDataFrame(
+        [("b", "C", "[]", "https://x/jobs", "post", {"page": "1"}, 200, "application/json", {"company": "wrong", "trace": "t"})],
+        "source_key string, company string, payload string, endpoint string, method string, request_params map<string,string>, "
+        "http_status int, content_type string, context map<string,string>",
+    )
+    write_bronze(rows, str(tmp_path / "b"), "lever")
+    write_bronze(rows.select("source_key", "company", "payload"), str(tmp_path / "b"), "lever")
+    full, bare = spark.read.parquet(str(tmp_path / "b")).orderBy(F.desc_nulls_last("endpoint")).collect()
+    assert (full.endpoint, full.method, full.request_params, full.http_status, full.content_type) == (
+        "https://x/jobs", "POST", {"page": "1"}, 200, "application/json",
+    )
+    assert full.context == {"company": "C", "source_key": "b", "trace": "t"}
+    assert (bare.endpoint, bare.method, bare.http_status, bare.context) == (None, "GET", None, {"company": "C", "source_key": "b"})
+
+
 def test_bronze_table_round_trip(spark, tmp_path):
     body = '{"jobs":[]}'
     snapshots = spark.createDataFrame(
