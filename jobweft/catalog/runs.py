@@ -18,6 +18,7 @@ from jobweft.operators.ledger import (
     run_outcomes,
     runs_to_process,
 )
+from jobweft.operators import upsert as upserts
 from jobweft.operators.upsert import deactivate_missing, snapshot_cutoffs, upsert
 from jobweft.sources.boards import attribute_runs
 from jobweft.sources.bronze import parse_run_metadata
@@ -331,6 +332,33 @@ FROM seen LEFT JOIN cut USING (source_key)
 """
 
 
+def child_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers that an order loses and gains when its shipped lines replace its open ones.
+
+    The lines of status O are what is stored and those of status F what arrives; an order
+    whose stored lines shipped later stays as it is.
+    """
+    lines = table(spark, sf_dir, "lineitem")
+
+    def side(status: str) -> DataFrame:
+        return lines.where(F.col("l_linestatus") == status).groupBy("l_orderkey").agg(
+            F.max("l_shipdate").alias("at"), F.collect_set("l_suppkey").alias("suppliers")
+        )
+
+    return upserts.child_delta(side("O"), side("F"), ["l_orderkey"], ["at"], "suppliers")
+
+
+CHILD_DELTA = """
+WITH old AS (SELECT l_orderkey, MAX(l_shipdate) AS at_, list(DISTINCT l_suppkey) AS s FROM lineitem WHERE l_linestatus = 'O' GROUP BY ALL),
+new AS (SELECT l_orderkey, MAX(l_shipdate) AS at_, list(DISTINCT l_suppkey) AS s FROM lineitem WHERE l_linestatus = 'F' GROUP BY ALL),
+met AS (SELECT n.l_orderkey, COALESCE(o.s, []) AS old, n.s AS new FROM new n LEFT JOIN old o USING (l_orderkey)
+  WHERE o.at_ IS NULL OR n.at_ >= o.at_)
+SELECT l_orderkey, child, op FROM (
+  SELECT l_orderkey, UNNEST(list_filter(old, lambda x: NOT list_contains(new, x))) AS child, 'delete' AS op FROM met
+  UNION ALL SELECT l_orderkey, UNNEST(list_filter(new, lambda x: NOT list_contains(old, x))), 'insert' FROM met)
+"""
+
+
 QUERIES = {
     "ledger_incremental": (ledger_incremental, LEDGER_INCREMENTAL),
     "run_outcome": (run_outcome, RUN_OUTCOME),
@@ -339,6 +367,7 @@ QUERIES = {
     "load_counters": (load_counters, LOAD_COUNTERS),
     "error_history": (error_history, ERROR_HISTORY),
     "board_attribution": (board_attribution, BOARD_ATTRIBUTION),
+    "child_delta": (child_delta, CHILD_DELTA),
     "upsert_latest": (upsert_latest, UPSERT_LATEST),
     "snapshot_inactive": (snapshot_inactive, SNAPSHOT_INACTIVE),
 }

@@ -1,6 +1,7 @@
 """Shapes of physical plans that matter at scale."""
 
 import io
+import uuid
 from contextlib import redirect_stdout
 
 import pytest
@@ -10,6 +11,7 @@ import __spark_entry__ as contract
 from jobweft.catalog import registered
 from jobweft.plans.quality import Check, check_results, count_mismatches, run_checks
 from jobweft.operators.ordering import run_order, with_ordinal
+from jobweft.operators.upsert import child_delta, upsert
 from jobweft.sources.silver import CommitConflict, SilverTables
 
 
@@ -153,3 +155,51 @@ def test_checks_return_their_rows_and_are_read_once(spark):
     assert found[:2] == [("a", "report", '{"run_id":"r"}'), ("a", "report", '{"run_id":"t"}')]
     assert [f[:2] for f in found[2:]] == [("b", "report")] * 2 + [("b", "violation")]
     assert reads.value == 1
+
+
+def test_upsert_shuffles_no_bucketed_state_and_sorts_no_payload_aggregate(spark):
+    rows = spark.range(3000).select(
+        (F.col("id") % 1000).alias("k"), F.col("id").alias("at"), F.col("id").alias("made"), F.concat(F.lit("body "), "id").alias("body"),
+        F.array(F.col("id") % 3, F.col("id") % 5).alias("kids"),
+    )
+    name = f"state_{uuid.uuid4().hex}"
+    rows.where("id < 1000").write.bucketBy(8, "k").sortBy("k").saveAsTable(name)
+    try:
+        state, batch = spark.table(name), rows.where("id >= 1000")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        found = upsert(state, batch, ["k"], ["at"], ["made"])
+        text = found._jdf.queryExecution().executedPlan().toString()
+        assert "SortAggregate" not in text
+        above, depth = [], None
+        for line in reversed(text.splitlines()):
+            column = len(line) - len(line.lstrip(" :+-"))
+            if depth is None and name in line:
+                depth = column
+            elif depth is not None and column < depth:
+                above.append(line.strip(" :+-"))
+                depth = column
+        until = next(i for i, line in enumerate(above) if line.startswith("SortMergeJoin"))
+        assert not any(line.startswith("Exchange") for line in above[:until])
+        got = {r.k: (r.at, r.made, r.body) for r in found.collect()}
+        assert got == {k: (2000 + k, k, f"body {2000 + k}") for k in range(1000)}
+        delta = child_delta(state, batch, ["k"], ["at"], "kids").collect()
+        want = set()
+        for k in range(1000):
+            old, new = ({i % 3, i % 5} for i in (k, 2000 + k))
+            want |= {(k, c, "delete") for c in old - new} | {(k, c, "insert") for c in new - old}
+        assert {tuple(r) for r in delta} == want and len(delta) == len(want)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql(f"DROP TABLE {name}")
+
+
+def test_upsert_of_late_equal_and_null_rows(spark):
+    kind = "k string, at int, made int, v string"
+    state = spark.createDataFrame([("a", 5, 1, "a5"), ("b", 5, 1, "b5"), ("c", None, 1, "c")], kind)
+    batch = spark.createDataFrame(
+        [("a", 4, 9, "a4"), ("b", 5, 9, "new b5"), ("c", 1, 0, "c1"), ("d", 1, 8, "d1"), ("d", 2, 9, "d2"), ("d", None, None, "d")], kind
+    )
+    got = {r.k: (r.at, r.made, r.v) for r in upsert(state, batch, ["k"], ["at"], ["made"]).collect()}
+    assert got == {"a": (5, 1, "a5"), "b": (5, 1, "new b5"), "c": (1, 0, "c1"), "d": (2, 8, "d2")}
+    assert upsert(state, batch.limit(0), ["k"], ["at"], ["made"]).count() == 3
+    assert upsert(state.limit(0), batch, ["k"], ["at"], []).count() == 4
