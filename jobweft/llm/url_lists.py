@@ -15,20 +15,44 @@ def month(time):
     return F.year(time) * 12 + F.month(time)
 
 
+def place_of(text, scheme: str):
+    """Host and path segments of a URL or of an entry's pattern, for both in the same way.
+
+    User, port, query, fragment, empty segments and the dot after a host are left out;
+    hosts are in lower case, paths as they are. ``scheme`` is the pattern of what comes
+    first. Without a host, the host is empty.
+    """
+    clean = F.regexp_extract(F.coalesce(text, F.lit("")), rf"^{scheme}(?:[^/?#@]*@)?([^?#]*)", 1)
+    parts = F.split(clean, "/")
+    host = F.regexp_replace(F.lower(parts[0]), r"\.?(?::\d*)?$", "")
+    return host, F.filter(F.slice(parts, 2, F.size(parts)), lambda s: s != "")
+
+
+SCHEME = r"[A-Za-z][A-Za-z0-9+.-]*://"
+
+
+def entry_key(kind, pattern):
+    """The key of an entry, null if its pattern has no host; a scheme may be left out."""
+    host, segments = place_of(F.trim(pattern), f"(?:{SCHEME})?")
+    path = F.when(kind == "prefix", F.concat(F.lit("/"), F.array_join(segments, "/"))).otherwise("")
+    return F.when(host != "", F.concat(kind, F.lit(":"), host, path))
+
+
 def intervals(entries: DataFrame) -> DataFrame:
     """``entries(list, kind, pattern, action, effective_at)`` as validity intervals.
 
     Every entry holds from its date to the next entry for the same list, kind and
     pattern (``valid_to``, null while open). ``action`` is ``block``, ``allow`` or
     ``remove``; a removal only ends what was before. Of entries with the same date
-    the strictest counts: block, then allow, then remove. Repeated entries are one;
-    entries without list, pattern or date, or with another kind or action, are void.
+    the strictest counts: block, then allow, then remove. Patterns are read as URLs are
+    (``place_of``), so entries that name the same place are one, as repeated ones are;
+    entries without list, host or date, or with another kind or action, are void.
     """
     rank = F.when(F.col("action") == "block", 3).when(F.col("action") == "allow", 2).otherwise(1)
     valid = (
         entries.where(F.col("kind").isin(*KINDS) & F.col("action").isin("block", "allow", "remove"))
-        .where("list IS NOT NULL AND pattern IS NOT NULL AND effective_at IS NOT NULL")
-        .withColumn("key", F.concat("kind", F.lit(":"), F.lower("pattern")))
+        .withColumn("key", entry_key(F.col("kind"), F.col("pattern")))
+        .where("list IS NOT NULL AND key IS NOT NULL AND effective_at IS NOT NULL")
         .groupBy("list", "key", "effective_at").agg(F.max(rank).alias("rank"))
     )
     by_entry = Window.partitionBy("list", "key").orderBy("effective_at")
@@ -40,22 +64,16 @@ def intervals(entries: DataFrame) -> DataFrame:
 
 def keys_of(url):
     """Keys under which entries can name a URL: its host, the host's suffixes and the path's beginnings."""
-    clean = F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^?#]*)", 1))
-    parts = F.split(clean, "/")
-    host = F.regexp_replace(parts[0], r":\d*$|\.$", "")
+    host, segments = place_of(url, SCHEME)
     labels = F.split(host, r"\.")
     suffixes = F.transform(
         F.sequence(F.lit(1), F.size(labels)),
         lambda i: F.concat(F.lit("domain:"), F.array_join(F.slice(labels, i, F.size(labels)), ".")),
     )
-    segments = F.filter(F.slice(parts, 2, F.size(parts)), lambda s: s != "")
-    beginnings = F.when(
-        F.size(segments) > 0,
-        F.transform(
-            F.sequence(F.lit(1), F.size(segments)),
-            lambda i: F.concat(F.lit("prefix:"), host, F.lit("/"), F.array_join(F.slice(segments, 1, i), "/")),
-        ),
-    ).otherwise(F.array().cast("array<string>"))
+    beginnings = F.transform(
+        F.sequence(F.lit(0), F.size(segments)),
+        lambda i: F.concat(F.lit("prefix:"), host, F.lit("/"), F.array_join(F.slice(segments, 1, i), "/")),
+    )
     return F.when(host != "", F.concat(F.array(F.concat(F.lit("host:"), host)), suffixes, beginnings)).otherwise(
         F.array().cast("array<string>")
     )
