@@ -241,12 +241,13 @@ FROM c
 
 
 def payload_run_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Runs whose payload is not what their adapter expects."""
+    """Runs whose payload is not what their adapter expects: whole texts in wrong places."""
     docs = table(spark, sf_dir, "documents")
+    job = F.to_json(F.struct(F.col("text").alias("content")))
     payload = (
-        F.when(F.col("lang") == "en", F.lit('{"jobs":[{"id":1},2]}'))
-        .when(F.col("lang") == "fr", F.lit('{"jobs":{"id":1}}'))
-        .when(F.col("lang") == "de", F.lit("[]"))
+        F.when(F.col("lang") == "en", F.concat(F.lit('{"jobs":['), job, F.lit(",2]}")))
+        .when(F.col("lang") == "fr", F.concat(F.lit('{"jobs":'), job, F.lit("}")))
+        .when(F.col("lang") == "de", F.concat(F.lit("["), job, F.lit("]")))
         .otherwise(F.col("text"))
     )
     runs = _runs(docs, "greenhouse", payload)
