@@ -108,6 +108,9 @@ def check_records(
 ) -> DataFrame:
     """Fill ``error`` of records the silver tables would not accept.
 
+    All rules of a record are checked: hours, salary, fingerprint and skills. Status and
+    link are not read but set by the load, to values of their domains.
+
     ``missing_names`` lists dictionary names without a dimension row, by table;
     it is empty unless somebody added an alias rule without seeding its name.
     """
@@ -124,7 +127,11 @@ def check_records(
         pay["salary_period"].alias("salary_period"),
     )
     salary = {n: pay.isNull() | ok for n, ok in salary_constraints().items()}
-    broken = violations({**hours_constraints(limits), **salary})
+    fingerprint = {"fingerprint_format": posting_constraints()["fingerprint_format"]}
+    skills = {
+        "priority_range": F.forall("skill_requirements", lambda s: s["priority"].isNull() | s["priority"].between(1, 5))
+    }
+    broken = violations({**hours_constraints(limits), **salary, **fingerprint, **skills})
     source_known = sources.select(F.col("source_key").alias("_source")).distinct()
     checked = flat.join(source_known, F.col("source_key") == F.col("_source"), "left")
     checked = unknown_reference(checked, "company_name", companies, "name", "companies", required=True)

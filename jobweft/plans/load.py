@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from jobweft import PARSER_VERSION
 from jobweft.operators.canonical import assign_canonical
-from jobweft.operators.constraints import check_records, split_quarantine
+from jobweft.operators.constraints import check_records, run_constraints, split_quarantine, violations
 from jobweft.operators.dictionary import AliasDictionary, load_dictionaries
 from jobweft.operators.enrich import enrich_jobs
 from jobweft.operators.ledger import (
@@ -292,10 +292,17 @@ def _finish(spark: SparkSession, tables: SilverTables, batch: Batch) -> DataFram
 def split_runs(facts: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Runs that can be registered, and those that cannot; neither has a payload.
 
-    A run is keyed by source and run id. One without them is rejected; so is a run
-    found in a second folder, where the first by path counts.
+    A run is keyed by source and run id. One without them is rejected; so are a run that
+    breaks a rule of the ledger, and one found in a second folder, where the first by path
+    counts.
     """
-    keyed = F.col("source_id").isNotNull() & F.col("run_id").isNotNull()
+    rules = {n: ok for n, ok in run_constraints().items() if n == "record_count_not_negative"}
+    broken = violations(rules)
+    facts = facts.withColumn(
+        "run_error",
+        F.coalesce("run_error", F.when(F.size(broken) > 0, F.concat(F.lit("violates check "), F.get(broken, F.lit(0))))),
+    )
+    keyed = F.col("source_id").isNotNull() & F.col("run_id").isNotNull() & (F.size(broken) == 0)
     places = facts.where(keyed).groupBy(*_RUN).agg(F.min("raw_path").alias("raw_path"))
     again = facts.where(keyed).join(places, [*_RUN, "raw_path"], "left_anti").withColumn(
         "run_error", F.lit("The same run was found in another folder")

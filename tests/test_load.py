@@ -329,6 +329,7 @@ def test_unseeded_name_is_quarantined(spark, tmp_path):
 
 
 def rejected_and_odd_runs(bronze):
+    put_run(bronze, "d1", "r4", "greenhouse_mews", {"jobs": [job(5)]}, at=None, count=-1)
     put_run(bronze, "d1", "r1", "greenhouse", {"jobs": [job(1), job(2)]}, at=None, company="  Mews ")
     put_run(bronze, "d2", "r1", "greenhouse", {"jobs": [job(1), job(2)]}, at=None, company="Mews")
     put_run(bronze, "d1", "r2", "greenhouse", {"jobs": [job(3)]}, at=None)
@@ -340,13 +341,13 @@ def rejected_and_odd_runs(bronze):
 def test_runs_that_cannot_be_keyed_are_rejected_and_second_folders_ignored(spark, tmp_path):
     rejected_and_odd_runs(tmp_path / "b")
     tables, summary = load(spark, tmp_path / "b", tmp_path / "s")
-    assert (summary["discovered"], summary["processed"], summary["rejected"], summary["exit_code"]) == (4, 1, 3, 1)
+    assert (summary["discovered"], summary["processed"], summary["rejected"], summary["exit_code"]) == (5, 1, 4, 1)
     (run,) = tables.ledger().collect()
     assert (run.source_key, run.status, run.processed_records) == ("greenhouse_mews", "processed", 2)
     messages = sorted(r.error_message.split("/b/")[1] for r in tables.errors().collect())
     assert messages == [
         "d1/r2: Metadata must be a JSON object", "d1/r3: Metadata field is missing: run_id",
-        "d2/r1: The same run was found in another folder",
+        "d1/r4: violates check record_count_not_negative", "d2/r1: The same run was found in another folder",
     ]
 
 
