@@ -67,19 +67,29 @@ def connected_components(edges: DataFrame) -> DataFrame:
 WHOLE, FIRST_HUBS = 1024, 64
 
 
-def mixed_members(members: DataFrame, found: DataFrame) -> DataFrame:
-    """Members of the buckets that hold several components, with their component's and bucket's sizes."""
-    labelled = (
-        members.join(found.withColumnRenamed("id", "rep"), "rep", "left")
-        .withColumn("comp", F.coalesce("component", "rep")).drop("component")
-    )
-    sizes = labelled.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("size"))
+def labelled(members: DataFrame, found: DataFrame) -> DataFrame:
+    """Members with their component (``comp``), their own where nothing links them."""
+    right = found.withColumnRenamed("id", "rep")
+    return members.join(right, "rep", "left").withColumn("comp", F.coalesce("component", "rep")).drop("component")
+
+
+def mixed_members(members: DataFrame) -> DataFrame:
+    """Members with ``comp`` of the buckets that hold several, with their component's and bucket's sizes."""
+    sizes = members.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("size"))
     mixed = (
         sizes.groupBy("bucket")
         .agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.sum("size").alias("members"))
         .where("lo <> hi").select("bucket", "members")
     )
-    return labelled.join(sizes.join(mixed, "bucket"), ["bucket", "comp"])
+    return members.join(sizes.join(mixed, "bucket"), ["bucket", "comp"])
+
+
+def _relabelled(rows: DataFrame, column: str, renamed: DataFrame) -> DataFrame:
+    """``rows`` with components replaced by those that ``renamed(id, component)`` has for them."""
+    names = renamed.toDF("__id", "__component")
+    return rows.join(names, F.col(column) == F.col("__id"), "left").withColumn(
+        column, F.coalesce("__component", column)
+    ).drop("__id", "__component")
 
 
 def linked_members(
@@ -99,22 +109,36 @@ def linked_members(
     holds (their columns are named ``hub_*``) and then leave. A bucket ends when one
     component is left, so every pair of a bucket is either joined already, ruled out
     by the condition, or compared.
+
+    New links unite components, not members: only they go through
+    ``connected_components``, and members take the new names by a join. A task takes
+    no more members of a large bucket to find its hubs than it has hubs.
     """
     about, hubs = about or [], FIRST_HUBS
-    while True:
-        members = settled(mixed_members(members, found))
-        if members.isEmpty():
-            return found
+    renamed = None
+    members = settled(mixed_members(labelled(members, found)))
+    while not members.isEmpty():
         order = Window.partitionBy("bucket").orderBy("size", F.xxhash64("rep"), "rep")
-        chosen = settled(
-            members.withColumn("place", F.row_number().over(order))
-            .where((F.col("place") <= hubs) | ((F.col("members") <= WHOLE) & (F.col("place") <= WHOLE)))
-            .select("bucket", *[F.col(c).alias(f"hub_{c}") for c in ["rep", "comp", *about]])
-        )
+        crowded = members.where(F.col("members") > WHOLE).withColumn("place", F.row_number().over(order))
+        hub_rows = members.where(F.col("members") <= WHOLE).unionByName(crowded.where(F.col("place") <= hubs).drop("place"))
+        chosen = settled(hub_rows.select("bucket", *[F.col(c).alias(f"hub_{c}") for c in ["rep", "comp", *about]]))
         pairs = members.join(chosen, "bucket").where("comp <> hub_comp").where(condition)
-        more = compare(pairs.select(F.least("hub_rep", "rep").alias("a"), F.greatest("hub_rep", "rep").alias("b")))
-        found = settled(connected_components(found.toDF("u", "v").union(more.toDF("u", "v"))))
-        members = members.join(
+        more = settled(compare(pairs.select(F.least("hub_rep", "rep").alias("a"), F.greatest("hub_rep", "rep").alias("b"))))
+        left = members.join(
             chosen.select("bucket", F.col("hub_rep").alias("rep")), ["bucket", "rep"], "left_anti"
-        ).select("bucket", "rep", *about)
+        ).select("bucket", "rep", "comp", *about)
+        if not more.isEmpty():
+            comps = members.select(F.col("rep").alias("id"), F.col("comp").alias("component")).distinct()
+            edges = _relabelled(_relabelled(more.toDF("u", "v"), "u", comps), "v", comps)
+            united = settled(connected_components(edges))
+            left = _relabelled(left, "comp", united)
+            renamed = united if renamed is None else settled(
+                _relabelled(renamed, "component", united).unionByName(united.join(renamed, "id", "left_anti"))
+            )
+        members = settled(mixed_members(left))
         hubs *= 4
+    if renamed is None:
+        return found
+    return _relabelled(found, "component", renamed).unionByName(
+        renamed.join(found, "id", "left_anti").select("id", "component")
+    )

@@ -30,7 +30,7 @@ from jobweft.llm.common import (
     text_blocks,
     text_bytes,
 )
-from jobweft.llm.components import connected_components, linked_members, mixed_members
+from jobweft.llm.components import connected_components, labelled, linked_members, mixed_members
 
 #: Bits of a slot's value that hold the random fraction; the rank stands above them.
 FRACTION_BITS = 48
@@ -209,7 +209,7 @@ def near_duplicates(
     compared = _Comparison(heads, plain, members, percent, width)
     links = compared.links(members.select(F.col("hub").alias("a"), F.col("rep").alias("b")))
     found = connected_components(links.toDF("u", "v"))
-    mixed = settled(mixed_members(members.select("bucket", "rep"), found).select("rep").distinct())
+    mixed = settled(mixed_members(labelled(members.select("bucket", "rep"), found)).select("rep").distinct())
     found = linked_members(
         compared.crowds(mixed), found, compared.links, "n <= hub_n_reach AND hub_n <= n_reach", ["n", "n_reach"]
     )
