@@ -55,11 +55,18 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply the stages to ``documents``; each result is written as Parquet and read again."""
+    """Apply the stages to ``documents``; each result is written as Parquet and read again.
+
+    A stage's input is deleted once its result is written; the last result stays.
+    """
     folder = f"{ensure_checkpoint_dir(spark)}/pipeline-{uuid.uuid4().hex}"
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for number, (name, stage) in enumerate(STAGES):
         path = f"{folder}/{number}-{name}"
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before is not None:
+            place = spark._jvm.org.apache.hadoop.fs.Path(before)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+        before = path
     return docs
