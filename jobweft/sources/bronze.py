@@ -238,7 +238,8 @@ def with_landing_columns(df: DataFrame, adapter_id: str) -> DataFrame:
     """
     body = F.col("payload").cast("binary")
     given = {c: F.col(c) if c in df.columns else F.lit(None) for c in REQUEST_COLUMNS}
-    known = F.create_map(F.lit("company"), F.col("company"), F.lit("source_key"), F.col("source_key"))
+    company = F.col("company") if "company" in df.columns else F.lit(None).cast("string")
+    known = F.create_map(F.lit("company"), company, F.lit("source_key"), F.col("source_key"))
     more = F.coalesce(given["context"].cast(REQUEST_COLUMNS["context"]), F.create_map().cast(REQUEST_COLUMNS["context"]))
     others = F.map_filter(more, lambda k, _: ~k.isin("company", "source_key"))
     return (
