@@ -63,7 +63,8 @@ class Adapter:
         """One row per advertisement, in the common fields.
 
         A run without a usable list, or with an empty one, has one row whose
-        ``pos`` is NULL; its ``run_error`` tells which.
+        ``pos`` is NULL; its ``run_error`` tells which. A board is one payload, read by
+        one task; its advertisements are dealt to all tasks before they are parsed.
         """
         items = runs.select(
             *_RUN_KEYS, *RUN_FIELDS,
@@ -73,7 +74,7 @@ class Adapter:
             *_RUN_KEYS, *RUN_FIELDS, "pos", "default_company",
             F.col("_item.is_object").alias("is_object"),
             F.col("_item.raw").alias("raw_advertisement"),
-        )
+        ).repartition("run_id", "pos")
         return self.fields(items).withColumn("no_id_message", F.lit(self.no_id_message))
 
 
