@@ -27,7 +27,7 @@ LEAST_PAGES, LEAST_SHARE, ROOT_SHARE, FEW_PAGES = 8, 0.3, 1.0, 4
 BROADCAST_BYTES = 8 << 20
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template iframe textarea svg math object canvas select".split())
+RAW = frozenset("script style noscript template iframe textarea svg object canvas select".split())
 BLOCK = frozenset(
     "address article aside blockquote body dd details div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "head header hr html li main menu nav ol p pre section summary table tbody td tfoot th thead title tr ul".split()
@@ -67,6 +67,8 @@ class Page:
         self.parents, self.tags, self.dropped, self.marks = [-1], [""], [False], [frozenset()]
         #: Why an element is furniture by itself: nothing, its tag, or a name, role or form, which may be taken back.
         self.causes = [""]
+        #: Elements named as furniture only by a part of a class or id.
+        self.partly: set[int] = set()
         self.hashes: list[int] = [0]
         self.parts: list[list[str]] = [[]]
         self.pieces: list[tuple[list[tuple[str, int]], int]] = []
@@ -149,7 +151,13 @@ class Page:
         for n in range(1, len(self.tags)):
             inner[n] = inner[self.parents[n]] or self.tags[self.parents[n]] in ("article", "main")
         mains = [n for n in range(1, len(self.tags)) if self.tags[n] == "main" or "main" in self.roles.get(n, "")]
-        freed = soft & self._above(mains)
+        # Inside an article, a part of a name drops no prose and no section with paragraphs.
+        held = self._above(n for n in range(1, len(self.tags)) if self.tags[n] == "p")
+        prose = {
+            n for n in self.partly & soft
+            if inner[n] and (self.tags[n] in PROSE or self.tags[n] == "section" and n in held)
+        }
+        freed = soft & self._above(mains) | prose
         self._drop(freed)
         articles = [n for n in range(1, len(self.tags)) if self.tags[n] == "article" and not inner[n]]
         if any(not self.dropped[n] for n in articles + mains) and any(self.blocks):
@@ -186,6 +194,7 @@ class Page:
         gone = self.dropped[parent] or cause == "tag"
         if attributes and not gone:
             words: set[str] = set()
+            items: set[str] = set()
             for name, *values in ATTRIBUTE.findall(attributes):
                 name, value = name.lower(), "".join(values)
                 if name == "role":
@@ -193,11 +202,14 @@ class Page:
                 elif name in ("class", "id"):
                     for item in value.lower().split():
                         if not ABOUT.match(item):
+                            items.add(item)
                             words.update(WORD.findall(item))
                 elif name == "hidden" and value.lower() != "false" or name == "style" and UNSEEN.search(value):
                     gone, cause = True, "tag"
             marks = frozenset(words)
             if not gone and (role in ROLES or tag not in ("html", "body") and marks & MARKS):
+                if not cause and role not in ROLES and not items & MARKS:
+                    self.partly.add(len(self.tags))
                 cause = "name"
             if role == "main":
                 marks |= {"main"}
@@ -335,7 +347,8 @@ def host_templates(pages: DataFrame, url_col: str = "url", html_col: str = "html
         pages.where(F.col(html_col).isNotNull()).select(host_of(url_col).alias("host"), F.col(html_col).alias("html")),
         read, "host string, main bigint, subtree bigint",
     ).distinct()
-    counts = seen.groupBy("host", "subtree").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= FEW_PAGES)
+    # Kept, as it is joined with itself: the pages are read once for it.
+    counts = settled(seen.groupBy("host", "subtree").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= FEW_PAGES))
     totals = counts.where("subtree = 0").select("host", F.col("n").alias("pages"))
     share = F.least(F.col("pages") * LEAST_SHARE, F.sqrt("pages") * ROOT_SHARE)
     return (

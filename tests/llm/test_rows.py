@@ -174,6 +174,49 @@ def test_an_account_number_may_end_with_letters():
     assert spans == [("iban", 4, len(iban))] and iban not in fresh
 
 
+def test_slash_dates_are_permuted_and_come_back():
+    """All texts of ten years, in both readings: no two become one, and all are undone."""
+    there, back = pseudonyms.Forms(b"k"), pseudonyms.Forms(b"k", inverse=True)
+    day, texts = datetime.date(1950, 1, 1), set()
+    while day.year < 1960:
+        texts |= {day.strftime("%m/%d/%Y"), *([day.strftime("%d/%m/%Y")] if day.day > 12 else [])}
+        day += datetime.timedelta(1)
+    fresh = {t: there.date(t) for t in texts}
+    assert len(set(fresh.values())) == len(texts) and all(back.date(f) == t for t, f in fresh.items())
+    assert there.date("13/13/1950") is None and there.date("02/30/1950") is None
+
+
+@pytest.mark.parametrize("name", ["a" * 70, "jürgen.groß", "и" * 100 + "7", "мария", "x" * 40 + "." + "y" * 80, "李雷", "a+b_c-d"])
+def test_mail_names_of_any_length_and_script(name):
+    text = f"5 see {name}@example.org now"
+    fresh, spans = pseudonyms.pseudonymise(text, pseudonyms.Forms(b"k"))
+    assert [s[0] for s in spans] == ["email"] and spans[0][2] == len(name) + 12
+    shown = fresh[spans[0][1] : spans[0][1] + len(name)]
+    letters = [(a, b) for a, b in zip(name, shown) if a.isalpha()]
+    assert all(b.isalpha() for _, b in letters) and sum(a == b for a, b in letters) <= max(1, len(letters) // 4)
+    assert pseudonyms.pseudonymise(fresh, pseudonyms.Forms(b"k", inverse=True))[0] == text
+
+
+def test_finder_equals_trying_every_place():
+    """Values in long texts without other digits, against a search that starts at every character."""
+    rng = np.random.default_rng(2)
+    values = ["12/24/1959", "GB82 WEST 1234 5698 7654 32", "+1 555 123 4567", "a.b@x.org", "4111 1111 1111 1111", "10.0.0.7", "z" * 90 + "@y.net"]
+    forms = pseudonyms.Forms(b"k")
+    for _ in range(40):
+        text = " ".join(rng.choice(values) if rng.random() < 0.3 else "word" * int(rng.integers(1, 30)) for _ in range(20))
+        want, at = [], 0
+        while found := pseudonyms.FINDER.search(text, at):
+            form, (start, last) = found.lastgroup, found.span()
+            fresh = None
+            for last in pseudonyms.iban_ends(text, start, last) if form == "iban" else [last]:
+                fresh = getattr(forms, form)(text[start:last])
+                if fresh is not None:
+                    want.append((form, start, last, fresh))
+                    break
+            at = start + 1 if fresh is None else last
+        assert list(pseudonyms.replacements(text, forms)) == want
+
+
 def test_personal_data_of_odd_rows(spark):
     rows = [(1, None), (2, ""), (3, "call +1 (826) 555-4081 190.137.223.204 now"), (4, "+1 (826) 555-4081"), (None, "x" * 100000 + " 4111111111111111")]
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("spans", F.lit(1))
@@ -283,6 +326,22 @@ def test_quality_of_odd_rows(spark):
     assert quality.score(docs.limit(0), model).count() == 0
 
 
+@pytest.mark.parametrize(
+    ("kind", "pattern", "hits"),
+    [
+        ("prefix", "example.com/ads/", [2, 3]), ("prefix", "https://Example.com:443/ads?x=1", [2, 3]), ("prefix", "example.com//ads", [2, 3]),
+        ("prefix", "example.com/", [1, 2, 3, 4, 6]), ("prefix", "example.com/Ads", [4]), ("host", " example.com. ", [1, 2, 3, 4, 6]),
+        ("domain", "user@EXAMPLE.com:80", [1, 2, 3, 4, 5, 6]), ("host", "", []), ("prefix", "/ads", []), ("host", None, []),
+    ],
+)
+def test_entries_are_read_as_urls_are(spark, kind, pattern, hits):
+    at = datetime.datetime(2024, 5, 1)
+    urls = ["http://example.com", "http://example.com/ads/x", "https://EXAMPLE.COM:8080//ads?q", "http://u@example.com./Ads", "ftp://a.example.com/", "http://example.com/x#ads"]
+    captures = spark.createDataFrame([(n, u, at) for n, u in enumerate(urls, 1)], "id long, url string, fetched_at timestamp")
+    entries = spark.createDataFrame([("l", kind, pattern, "block", at)], "list string, kind string, pattern string, action string, effective_at timestamp")
+    assert sorted(r.id for r in url_lists.filter_urls(captures, entries).where("blocked").collect()) == hits
+
+
 def test_url_lists_over_time(spark):
     day = lambda d: datetime.datetime(2024, 1, 1) + datetime.timedelta(days=d)
     entries = spark.createDataFrame(
@@ -360,3 +419,12 @@ def test_latent_space_is_the_truncated_svd(spark):
         dense[n, np.searchsorted(space.vocabulary, at)] = counts / np.linalg.norm(counts)
     kept = dense @ space.basis @ space.basis.T
     assert np.allclose(kept, dense, atol=1e-4)
+
+
+def test_a_part_of_a_name_drops_no_prose_of_an_article():
+    body = (
+        "<article><h1>T</h1><p>One.</p><p class='share-price'>Two.</p><section class='related-work'><h2>R</h2><p>Three.</p></section>"
+        "<p>Let <math><mi>x</mi></math> be.</p><div class='share-bar'><a>tweet</a></div><div class='comments'><p>nice</p></div>"
+        "<section class='comments'><p>bad</p></section></article>"
+    )
+    assert main_text.Page(f"<body>{body}</body>").text() == "T\nOne.\nTwo.\nR\nThree.\nLet x be."
