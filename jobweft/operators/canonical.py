@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from jobweft.session import cut_lineage
+from jobweft.session import cut_lineage, cut_measured
 
 _BLOCK = ["company", "role", "places"]
 _ANY = "\u0000any"  # stands for an unknown seniority, which matches every level
@@ -211,7 +211,7 @@ def _decide_heads(events: DataFrame, state: DataFrame) -> DataFrame:
         )
         unsure = _unsure_since(near_heads, given, near_state)
         values = _resolve(undecided, given.drop("done"), near_state, all_heads=near_heads)
-        decided = cut_lineage(
+        decided = cut_measured(
             undecided.join(unsure, _BLOCK, "left").where(F.col("unsure").isNull() | (F.col("ord") < F.col("unsure")))
             .select("posting_key").join(values, "posting_key").withColumnRenamed("posting_key", "head_key")
         )
@@ -263,7 +263,7 @@ def _followed(known: DataFrame, decided: DataFrame, undecided: DataFrame) -> Dat
         )
         steps = table.where(~F.col("done")).join(far, F.col("value") == F.col("_at"), "left")
         # A value that is no head's is a canonical from before.
-        stepped = cut_lineage(
+        stepped = cut_measured(
             steps.select(
                 "head_key", "value", F.coalesce("_value", "value").alias("next"), F.coalesce("_done", F.lit(True)).alias("done")
             )
@@ -317,6 +317,9 @@ def _switches(heads: DataFrame, given: DataFrame, state: DataFrame) -> DataFrame
 
     ``t1`` is NULL when the candidate was there from the start, ``many`` tells that
     several were. ``t2`` is NULL while the candidate stays the only one.
+
+    Levels and blocks are read several times below, each time by a plan that would
+    hold all steps before them; both are kept, at one row per level and per block.
     """
     key = [*_BLOCK, "level"]
     wild = F.col("level") == _ANY
@@ -325,7 +328,7 @@ def _switches(heads: DataFrame, given: DataFrame, state: DataFrame) -> DataFrame
     ).unionByName(given.select(*key, "ord", "value", F.lit(False).alias("is_head")))
     # Per level: earliest head, earliest given value, values from the start.
     moment = F.struct("ord", "value")
-    levels = (
+    levels = cut_lineage(
         events.withColumns({"s_low": F.lit(None).cast("string"), "s_high": F.lit(None).cast("string")})
         .unionByName(state.select(*key, "s_low", "s_high"), allowMissingColumns=True)
         .groupBy(*key)
@@ -369,7 +372,7 @@ def _switches(heads: DataFrame, given: DataFrame, state: DataFrame) -> DataFrame
         .select(*_BLOCK, F.col("h.ord").alias("ord"))
     )
     second = other.select(*_BLOCK, "ord").unionByName(lonely).groupBy(*_BLOCK)
-    block = block.join(second.agg(F.min("ord").alias("t_any")), _BLOCK, "left")
+    block = cut_lineage(block.join(second.agg(F.min("ord").alias("t_any")), _BLOCK, "left"))
     # First candidate of a level: from the start, else the earliest of its own and
     # the unknown level's events. A head of unknown level brings the block's
     # candidate while that is the only one.
