@@ -271,15 +271,19 @@ def silver_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     runs = _object_runs(spark, sf_dir)
     runs = runs.unionByName(_list_runs(spark, sf_dir)).unionByName(_flagged_runs(spark, sf_dir))
     records, _ = _read(runs)
-    good, _ = split_quarantine(records)
     # Five reports read the postings, so they are parsed once and kept, as the
-    # silver tables keep them.
-    postings = cut_lineage(
-        good.select(
-            F.when(F.col("source_id") == "ashby", "inactive").otherwise("active").alias("status"),
-            "company_name", "role_name", "skill_requirements", "work_modes", "locations",
+    # silver tables keep them. They are kept with their errors, as the load does: a
+    # filter on errors would be moved before the parse, with every step in it again
+    # for each of its uses.
+    good, _ = split_quarantine(
+        cut_lineage(
+            records.select(
+                "source_id", "run_id", "pos", "company_name", "role_name", "skill_requirements",
+                "work_modes", "locations", "error",
+            )
         )
     )
+    postings = good.withColumn("status", F.when(F.col("source_id") == "ashby", "inactive").otherwise("active"))
     made = {
         "company": reports.active_by_company(postings),
         "role": reports.active_by_role(postings),

@@ -203,3 +203,15 @@ def test_upsert_of_late_equal_and_null_rows(spark):
     assert got == {"a": (5, 1, "a5"), "b": (5, 1, "new b5"), "c": (1, 0, "c1"), "d": (2, 8, "d2")}
     assert upsert(state, batch.limit(0), ["k"], ["at"], ["made"]).count() == 3
     assert upsert(state.limit(0), batch, ["k"], ["at"], []).count() == 4
+
+
+def test_postings_are_parsed_before_their_errors_are_filtered(spark, tmp_path, monkeypatch):
+    from jobweft.catalog import adapters
+
+    rows = [(1, "title\nthe text " * 20, "en", "src0", 301), (2, "der Text", "de", "src1", 8)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    kept = []
+    monkeypatch.setattr(adapters, "cut_lineage", lambda df: kept.append(df) or df)
+    adapters.silver_reports(spark, str(tmp_path))
+    assert kept[0]._jdf.queryExecution().optimizedPlan().toString().count("from_json") < 200
