@@ -25,7 +25,7 @@ import re
 from array import array
 from collections.abc import Iterable, Iterator
 from heapq import heapify, heappop, heappush
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -397,8 +397,7 @@ class Decoder:
 
     def feed(self, ids: list[int], last: bool = False) -> str:
         """Text of the ids so far; bytes that are no UTF-8 become U+FFFD. Unknown ids give nothing."""
-        get = self.bytes_of.get
-        data = self.held + b"".join([get(n, b"") for n in ids])
+        data = self.held + b"".join(map(self.bytes_of.get, ids, repeat(b"")))
         text, used = codecs.utf_8_decode(data, "replace", last)
         self.held = data[used:]
         return text
@@ -479,7 +478,8 @@ def decode(rows: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "i
             ids = batch.column("ids")[row].values
             decoder, parts = Decoder(vocabulary), []
             for at in range(0, len(ids) if ids is not None else 0, WINDOW):
-                parts.append(decoder.feed(ids.slice(at, WINDOW).to_pylist()))
+                # Without nulls the ids are numbers in a row, which become a list at once.
+                parts.append(decoder.feed(ids.slice(at, WINDOW).drop_null().to_numpy().tolist()))
             parts.append(decoder.feed([], last=True))
             text = pa.array(["".join(parts)], pa.string())
             yield pa.RecordBatch.from_arrays(
