@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from jobweft.operators import alias_index
-from jobweft.operators.alias_index import all_names, first_name, non_overlapping_names, with_hits
+from jobweft.operators.alias_index import alias_keys, all_names, first_name, non_overlapping_names, with_hits
 from jobweft.operators.dictionary import (
     AliasDictionary,
     aliases_frame,
@@ -171,3 +171,23 @@ def test_index_plan_does_not_grow_with_the_dictionary(spark, monkeypatch):
     monkeypatch.setattr(alias_index, "BROADCAST_BYTES", 0)
     shuffled = with_hits(texts, aliases, "id", "text")
     assert {r.id: sorted(h.name for h in r.hits) for r in shuffled.collect()} == {1: ["n12", "n7"], 2: ["n3000"]}
+
+
+def test_hits_of_many_words_are_those_of_the_expressions(spark):
+    long = " ".join(f"w{n}" for n in range(200))
+    texts = [
+        (1, f"a,b a b {long}  Straße — c++ and C#"), (1, "b a"), (2, f"{long} w63 w64-w65 ſtraße"), (3, ""), (4, None),
+        (None, "a b"), (5, "of, the of  the Of The end"), (6, "\U0001f600 a b µ K w5"), (7, "xa b_ a_b"), (8, f"\n {long} a\nb a b"),
+    ]
+    texts = spark.createDataFrame(texts, "id bigint, text string")
+    words = ["a", "b", "a b", "of the", "the end", "w63 w64", "w64-w65", "w127", "w128", "w199", "straße", "c++", "#", "μ", "k", "w1 w2 w3 w4", "w1 w2 w3 w5"]
+    aliases = spark.createDataFrame([(f"n{n % 5}", word) for n, word in enumerate(words)], "name string, alias string")
+    found = with_hits(texts, aliases, "id", "text")
+    got = sorted((r.id or 0, r.text or "", sorted(map(tuple, r.hits))) for r in found.collect())
+    met = texts.crossJoin(alias_keys(aliases)).withColumn("start", F.expr("regexp_instr(text, pattern)")).where("start > 0 AND id IS NOT NULL").collect()
+    want = sorted(
+        (t.id or 0, t.text or "", sorted((r.start, r.rank, r.name) for r in met if (r.id, r.text) == (t.id, t.text))) for t in texts.collect()
+    )
+    assert got == want
+    # What met is not shuffled to its text.
+    assert "hashpartitioning(_id" not in found._jdf.queryExecution().executedPlan().toString()
