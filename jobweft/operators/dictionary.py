@@ -54,7 +54,11 @@ class Alias:
 
     @property
     def pattern(self) -> str:
-        return rf"(?iu)(?<![{_WORD}]){re.escape(self.alias)}(?![{_WORD}])"
+        literal = re.escape(self.alias)
+        if self.width > len(self.alias):
+            return rf"(?iu)(?<![{_WORD}]){literal}(?![{_WORD}])"
+        # What stands before is looked at only where the alias is: few places of a text.
+        return rf"(?iu){literal}(?<![{_WORD}]{literal})(?![{_WORD}])"
 
     @property
     def width(self) -> int:

@@ -191,3 +191,14 @@ def test_hits_of_many_words_are_those_of_the_expressions(spark):
     assert got == want
     # What met is not shuffled to its text.
     assert "hashpartitioning(_id" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_letters_beside_an_alias_are_looked_at_only_where_it_is(spark):
+    names = AliasDictionary("names", [("the", ["the"]), ("plus", ["+"]), ("smile", ["\U0001f600"]), ("twice", ["aa"])])
+    assert names.aliases[0].pattern.startswith("(?iu)the")
+    cases = ["the", "xthe the", "the_ THE", "9the", "a+ +", "a \U0001f600", "aaa aa", "aaa", "\U0001f600the", "thé the", ""]
+    texts = spark.createDataFrame([(t,) for t in cases], "text string")
+    got = {r.text: {(h.start, h.name) for h in r.hits} for r in texts.select("text", F.expr(names.hits("text")).alias("hits")).collect()}
+    old = {a.name: rf"(?iu)(?<![\p{{L}}\p{{N}}_]){re.escape(a.alias)}(?![\p{{L}}\p{{N}}_])" for a in names.aliases}
+    starts = texts.select("text", *[F.regexp_instr("text", F.lit(p)).alias(n) for n, p in old.items()]).collect()
+    assert got == {r.text: {(r[n], n) for n in old if r[n] > 0} for r in starts}
