@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 # White space as Python's str.strip and the \s of its re module see it; the JVM's
-# own classes differ on the separators U+001C..U+001F.
+# own classes differ on the separators U+001C..U+001F. The first part of the
+# intersection tells letters apart after three tests instead of all.
 SPACE = (
-    r"\x09-\x0d\x1c-\x20\x85\xa0\x{1680}\x{2000}-\x{200a}"
-    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+    r"\x09-\x20\x85\xa0\x{1680}-\x{3000}&&"
+    r"[\x09-\x0d\x1c-\x20\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 )
 # Letters up to U+017E whose case fold is their lower case (not micro sign, sharp
 # s, dotted capital I, n with apostrophe or long s).
