@@ -85,7 +85,8 @@ def load_state(spark: SparkSession, sf_dir: str) -> DataFrame:
         batch = parse_batch(source.with_payload(cut_lineage(todo)), rules, dimensions, f"attempt{number}", now)
         changes = plan_load(State(state.postings, ledger, dimensions), batch)
         others = state.postings.join(changes.touched, "source_key", "left_anti").select(*POSTINGS)
-        state = State(cut_lineage(others.unionByName(changes.postings)), changes.ledger, dimensions)
+        # Both parts are kept already, by this load and the one before.
+        state = State(others.unionByName(changes.postings), changes.ledger, dimensions)
         errors = errors.unionByName(changes.errors)
 
     def shown(frame: DataFrame, kind: str, board: Column, key: str, status: Column, detail: Column) -> DataFrame:

@@ -28,7 +28,7 @@ from jobweft.operators.ledger import (
 from jobweft.operators.upsert import deactivate_missing, posting_key, snapshot_cutoffs, upsert
 from jobweft.plans.seeds import missing_seeds, seed_frame
 from jobweft.schemas import ERRORS, LEDGER, POSTINGS, RECORD
-from jobweft.session import cut_lineage
+from jobweft.session import cut_lineage, cut_measured
 from jobweft.settings import Board, HourLimits, boards_frame, load_boards, load_hour_limits
 from jobweft.sources.adapters import ADAPTERS, RUN_FIELDS, Adapter, read_rows
 from jobweft.sources.boards import attribute_runs
@@ -37,6 +37,11 @@ from jobweft.sources.silver import CommitConflict, SilverTables, whole
 
 _RUN = ["source_id", "run_id"]
 _ORDER = ["retrieved_at", "run_id", "pos"]
+#: The advertisement as it came, which nothing is decided by, and the columns without it.
+_BODY = "raw_advertisement"
+_SLIM = [c for c in POSTINGS if c != _BODY]
+#: What stands for a row of the state among the hashes that tell parsed rows apart.
+_STORED = 0
 
 #: Runs that one commit takes up, and how often a commit that came second is planned again.
 RUNS_AT_ONCE, ATTEMPTS = 4096, 10
@@ -142,19 +147,35 @@ def plan_load(state: State, batch: Batch) -> Changes:
     that are not newer, with all their children; a record with an error leaves only
     its error row. Postings that the newest complete snapshot of a board lacks become
     inactive, and postings without a link get one.
+
+    Advertisements as they came decide nothing, so they stay where parsing or the state
+    has them and meet their postings last, when ``postings`` is read. Everything
+    before that works on the rest of a row and on which row it is (``_row``).
     """
-    owned = cut_lineage(owned_runs(state.ledger, batch.attempt_id))
-    good, bad, runs = (frame.join(owned, _RUN, "left_semi") for frame in (batch.good, batch.bad, batch.runs))
+    owned = cut_measured(owned_runs(state.ledger, batch.attempt_id))
+    parsed = batch.good.withColumn("_row", F.xxhash64(*_RUN, "pos", _BODY))
+    good, bad, runs = (frame.join(owned, _RUN, "left_semi") for frame in (parsed.drop(_BODY), batch.bad, batch.runs))
     outcomes = cut_lineage(run_outcomes(runs, good, bad))
     ledger = cut_lineage(advance_ledger(state.ledger, outcomes, PARSER_VERSION).select(*LEDGER))
 
     fresh = _as_postings(good, batch.now)
-    touched = cut_lineage(fresh.select("source_key").unionByName(outcomes.select("source_key")).distinct())
-    before = state.postings.join(touched, "source_key", "left_semi").withColumn("pos", F.lit(-1))
-    merged = deactivate_missing(_merge(before, fresh), snapshot_cutoffs(ledger))
+    touched = cut_measured(fresh.select("source_key").unionByName(outcomes.select("source_key")).distinct())
+    stored = state.postings.join(touched, "source_key", "left_semi").withColumns({"pos": F.lit(-1), "_row": F.lit(_STORED)})
+    merged = deactivate_missing(_merge(stored.drop(_BODY), fresh), snapshot_cutoffs(ledger))
     linked = cut_lineage(_link(merged, state.postings, fresh))
     errors = link_errors(bad, ledger).withColumn("created_at", batch.now)
-    return Changes(linked.select(*POSTINGS), touched, ledger, errors.select(*ERRORS), outcomes)
+    return Changes(_with_bodies(linked, stored, parsed), touched, ledger, errors.select(*ERRORS), outcomes)
+
+
+def _with_bodies(slim: DataFrame, stored: DataFrame, parsed: DataFrame) -> DataFrame:
+    """Postings with the advertisement of the row they come from, stored or parsed.
+
+    A frame that does not read it leaves the join out, as a row has one body.
+    """
+    own = [posting_key(F.col("source_key"), F.col("source_job_id")).alias("posting_key"), "_row", _BODY]
+    rows = stored.select("posting_key", "_row", _BODY).unionByName(parsed.select(*own))
+    bodies = rows.groupBy("posting_key", "_row").agg(F.max(_BODY).alias(_BODY))
+    return slim.join(bodies, ["posting_key", "_row"], "left").select(*POSTINGS)
 
 
 def missing_dimensions(spark: SparkSession, rules: Rules, stored: DataFrame) -> DataFrame:
@@ -326,9 +347,7 @@ def _as_postings(good: DataFrame, now: Column) -> DataFrame:
         "matched_at": F.lit(None).cast("timestamp"),
     }
     own = {"source_key", "run_id", *RECORD}
-    return good.select(
-        *[F.col(c) if c in own else fresh[c].alias(c) for c in POSTINGS], F.col("pos")
-    )
+    return good.select(*[F.col(c) if c in own else fresh[c].alias(c) for c in _SLIM], "pos", "_row")
 
 
 def _merge(state: DataFrame, batch: DataFrame) -> DataFrame:

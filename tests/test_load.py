@@ -503,3 +503,22 @@ def test_table_layout_reads_only_the_days_of_new_runs(spark, tmp_path, capsys):
     tables = SilverTables(spark, str(tmp_path / "s"))
     assert load_runs(spark, table, tables).first().processed == 2
     assert load_runs(spark, table, tables).first().skipped == 2
+
+
+def test_advertisements_meet_their_postings_only_where_they_are_read(spark, tmp_path, monkeypatch):
+    from jobweft.plans import load as module
+
+    made, original = [], module.plan_load
+    monkeypatch.setattr(module, "plan_load", lambda *given: made.append(original(*given)) or made[-1])
+    first = [job(1), job(2), job(2, "Data Analyst"), job(3)]
+    put_run(tmp_path / "b", "2026-01-01", "r1", "greenhouse_mews", {"jobs": first}, at="2026-01-01T10:00:00Z")
+    load(spark, tmp_path / "b", tmp_path / "s")
+    put_run(tmp_path / "b", "2026-01-02", "r2", "greenhouse_mews", {"jobs": [job(1, "Data Analyst")]}, at="2026-01-02T10:00:00Z")
+    tables, _ = load(spark, tmp_path / "b", tmp_path / "s")
+    stored = {r.source_job_id: (json.loads(r.raw_advertisement), r.status) for r in tables.postings().collect()}
+    # Replaced, the last of two in one snapshot, and kept from the state.
+    assert stored == {"1": (job(1, "Data Analyst"), "active"), "2": (job(2, "Data Analyst"), "inactive"), "3": (job(3), "inactive")}
+    for changes in made:
+        assert "raw_advertisement" in changes.postings.columns
+        text = changes.postings.drop("raw_advertisement")._jdf.queryExecution().optimizedPlan().toString()
+        assert "raw_advertisement" not in text and "Join" not in text
