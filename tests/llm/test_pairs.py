@@ -166,6 +166,31 @@ def test_lines_with_changed_words_equal_brute_force_on_edit_similarity(spark):
     assert got == {i: label[i] == i for i in range(len(lines))}
 
 
+def test_keys_and_texts_of_lines_that_meet_nobody_are_not_held(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    lines = [" ".join("".join("abcdefghijklmnopqrstuvwxyz"[c] for c in rng.integers(0, 26, 6)) for _ in range(20)) for _ in range(60)]
+    lines.append(lines[0].replace(lines[0].split()[4], "changed"))
+    held = []
+
+    def recorded(df):
+        out = common.settled(df)
+        held.append((out.columns, out.count()))
+        return out
+
+    monkeypatch.setattr(line_dedup, "settled", recorded)
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    got = {r.doc_id for r in line_dedup.similar_lines(docs).where("NOT kept").collect()}
+    assert got == {60}
+    assert all(n <= len(lines) and "normal" not in columns for columns, n in held)
+
+
+def test_shared_keys_equal_a_count_by_hand(spark):
+    rows = [(1, 5, 10), (2, 6, 10), (3, 7, 11), (2, 6, 12), (3, 7, 12), (1, 5, 12), (4, 9, 13)]
+    keyed = spark.createDataFrame(rows, "cls long, size int, bucket long")
+    got = sorted((r.bucket, r.rep, r.size, r.hub_rep, r.hub_size) for r in line_dedup.shared_keys(keyed).collect())
+    assert got == [(10, 1, 5, 1, 5), (10, 2, 6, 1, 5), (12, 1, 5, 1, 5), (12, 2, 6, 1, 5), (12, 3, 7, 1, 5)]
+
+
 def test_simhash_counts_words_and_blocks_find_three_flipped_bits(spark):
     line = "to be or not to be that is the question"
     row = spark.range(1).select(
