@@ -185,10 +185,10 @@ def test_keys_and_texts_of_lines_that_meet_nobody_are_not_held(spark, monkeypatc
 
 
 def test_shared_keys_equal_a_count_by_hand(spark):
-    rows = [(1, 5, 10), (2, 6, 10), (3, 7, 11), (2, 6, 12), (3, 7, 12), (1, 5, 12), (4, 9, 13)]
+    rows = [(1, 5, 10), (2, 6, 10), (3, 7, 11), (2, 6, 12), (3, 7, 12), (1, 5, 12), (4, 9, 13), (5, 40, 12), (6, 10, 14), (7, 13, 14), (8, 8, 15), (9, 10, 15), (10, 13, 15)]
     keyed = spark.createDataFrame(rows, "cls long, size int, bucket long")
     got = sorted((r.bucket, r.rep, r.size, r.hub_rep, r.hub_size) for r in line_dedup.shared_keys(keyed).collect())
-    assert got == [(10, 1, 5, 1, 5), (10, 2, 6, 1, 5), (12, 1, 5, 1, 5), (12, 2, 6, 1, 5), (12, 3, 7, 1, 5)]
+    assert got == [(10, 1, 5, 1, 5), (10, 2, 6, 1, 5), (12, 1, 5, 1, 5), (12, 2, 6, 1, 5), (12, 3, 7, 1, 5), (15, 8, 8, 8, 8), (15, 9, 10, 8, 8)]
 
 
 def test_simhash_counts_words_and_blocks_find_three_flipped_bits(spark):
