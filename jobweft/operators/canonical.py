@@ -174,7 +174,9 @@ def _classified(new: DataFrame, linked: DataFrame) -> DataFrame:
 def _decide_heads(events: DataFrame, state: DataFrame) -> DataFrame:
     """Canonical (``value``) of every head.
 
-    Heads whose canonical a follower carries into another block wait for each other.
+    A head that comes when its level has several final values founds a canonical at once;
+    values that arrive after that are left out. Of the others, heads whose canonical a
+    follower carries into another block wait for each other.
     A waiting head starts as a symbol for its own canonical. A round decides the heads
     that see no two symbols which may yet turn out to be one (``_unsure_since``): they
     found a canonical, or take one that is known, or the symbol of another head. Symbols
@@ -190,11 +192,21 @@ def _decide_heads(events: DataFrame, state: DataFrame) -> DataFrame:
     if carried.isEmpty():
         return _resolve(heads, fixed, state)
 
+    # A head that comes when its level has several canonicals founds one, whatever else
+    # arrives. What others see of it is a value like those that were known at once.
+    levels, blocks = _final_values(fixed, state)
+    marked = cut_lineage(_with_several(heads, levels, blocks).withColumn("late", _past()).drop("several"))
+    heads, late = marked.where(~F.col("late")).drop("late"), marked.where("late")
+    founded = late.select("posting_key", F.col("posting_key").alias("value"))
+    fixed = cut_lineage(fixed.unionByName(late.select(*_BLOCK, "level", "ord", F.col("posting_key").alias("value"))))
+    levels, blocks = _final_values(fixed, state)
+    fixed, carried = (cut_lineage(_telling(frame, levels, blocks)) for frame in (fixed, carried))
+
     # Heads that no follower carries elsewhere cannot influence another block.
     sources = carried.select("head_key").distinct()
-    known = events.where(F.col("kind") == "fixed").select(
-        F.col("posting_key").alias("head_key"), "value", F.lit(True).alias("done")
-    ).join(sources, "head_key", "left_semi")
+    known = events.where(F.col("kind") == "fixed").select(F.col("posting_key").alias("head_key"), "value").unionByName(
+        founded.withColumnRenamed("posting_key", "head_key")
+    ).withColumn("done", F.lit(True)).join(sources, "head_key", "left_semi")
     undecided = cut_lineage(
         heads.join(sources.withColumnRenamed("head_key", "posting_key"), "posting_key", "left_semi")
     )
@@ -209,10 +221,13 @@ def _decide_heads(events: DataFrame, state: DataFrame) -> DataFrame:
             fixed.join(blocks, _BLOCK, "left_semi").withColumn("done", F.lit(True))
             .unionByName(arriving.select(*_BLOCK, "level", "ord", "value", "done"))
         )
+        levels, blocks = _final_values(given.where("done"), near_state)
+        given = cut_lineage(_telling(given, levels, blocks))
         unsure = _unsure_since(near_heads, given, near_state)
         values = _resolve(undecided, given.drop("done"), near_state, all_heads=near_heads)
+        sure = F.col("unsure").isNull() | (F.col("ord") < F.col("unsure")) | _past()
         decided = cut_measured(
-            undecided.join(unsure, _BLOCK, "left").where(F.col("unsure").isNull() | (F.col("ord") < F.col("unsure")))
+            _with_several(undecided, levels, blocks).join(unsure, _BLOCK, "left").where(sure)
             .select("posting_key").join(values, "posting_key").withColumnRenamed("posting_key", "head_key")
         )
         undecided = cut_lineage(
@@ -220,7 +235,69 @@ def _decide_heads(events: DataFrame, state: DataFrame) -> DataFrame:
         )
         known = _followed(known, decided, undecided)
     arriving = carried.join(known, "head_key").select(*_BLOCK, "level", "ord", "value")
-    return _resolve(heads, fixed.unionByName(arriving), state)
+    return _resolve(heads, fixed.unionByName(arriving), state).unionByName(founded)
+
+
+def _final_values(given: DataFrame, state: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """When values that are final and differ are there, per block and level and per block.
+
+    ``several`` is the moment of the second value that a head of the level sees, one of
+    unknown level in the frame of blocks; its ``ord`` is NULL for values from the start.
+    It is NULL where there are no two. ``wide`` is the same for values of unknown level
+    alone, which heads of all levels see.
+    """
+    key = [*_BLOCK, "level"]
+    wild = F.col("level") == _ANY
+    moment = F.struct("ord", "value")
+
+    def second(first: str, *moments: str) -> Column:
+        """The earliest of ``moments`` that has another value than ``first``."""
+        return F.least(*[F.when(F.col(m)["value"] != F.col(first)["value"], F.col(m)) for m in moments], F.lit(None))
+
+    start = state.select(*key, F.explode(F.array("s_low", "s_high")).alias("value")).where("value IS NOT NULL")
+    values = start.withColumn("ord", F.lit(None).cast(given.schema["ord"].dataType)).unionByName(
+        given.select(*key, "ord", "value")
+    )
+    firsts = values.groupBy(*key).agg(F.min(moment).alias("one"))
+    own = cut_lineage(
+        values.join(firsts, key).groupBy(*key).agg(
+            F.min("one").alias("one"), F.min(F.when(F.col("value") != F.col("one.value"), moment)).alias("two")
+        )
+    )
+    blocks = own.groupBy(*_BLOCK).agg(
+        F.min("one").alias("b_one"), F.min(F.when(wild, F.col("one"))).alias("u_one"), F.min(F.when(wild, F.col("two"))).alias("wide")
+    )
+    met = own.join(blocks, _BLOCK)
+    levels = met.where(~wild).withColumn("first", F.least("one", "u_one")).select(
+        *key, second("first", "one", "two", "u_one", "wide").alias("several")
+    )
+    blocks = met.groupBy(*_BLOCK).agg(F.min(second("b_one", "one", "two")).alias("several"), F.min("wide").alias("wide"))
+    return cut_lineage(levels), cut_lineage(blocks)
+
+
+def _with_several(rows: DataFrame, levels: DataFrame, blocks: DataFrame) -> DataFrame:
+    """``rows`` with the moment since which heads of their level see several final values."""
+    named, whole = levels.withColumnRenamed("several", "_own"), blocks.withColumnsRenamed({"several": "_block", "wide": "_wide"})
+    met = rows.join(named, [*_BLOCK, "level"], "left").join(whole, _BLOCK, "left")
+    several = F.when(F.col("level") == _ANY, F.col("_block")).otherwise(F.coalesce("_own", "_wide"))
+    return met.withColumn("several", several).drop("_own", "_block", "_wide")
+
+
+def _past() -> Column:
+    """Whether a row comes after ``several`` (NULL if that never is)."""
+    several = F.col("several")
+    after = several["ord"].isNull() | (F.col("ord") > several["ord"])
+    return several.isNotNull() & F.coalesce(after, F.lit(False))
+
+
+def _telling(values: DataFrame, levels: DataFrame, blocks: DataFrame) -> DataFrame:
+    """Arriving ``values`` without those that come when all who see them see several already.
+
+    A value of unknown level is seen by all levels, another by its own and by heads of
+    unknown level, which see several no later than its own does.
+    """
+    seen = _with_several(values, levels, blocks.withColumn("several", F.col("wide")))
+    return seen.where(~_past()).drop("several")
 
 
 def _unsure_since(heads: DataFrame, given: DataFrame, state: DataFrame) -> DataFrame:

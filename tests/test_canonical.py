@@ -143,6 +143,24 @@ def test_a_long_chain_of_carried_canonicals_takes_few_rounds(spark, monkeypatch)
     assert len(rounds) == 2 and len(kept) < 45
 
 
+def test_heads_that_see_several_canonicals_wait_for_none(spark, monkeypatch):
+    """Whatever a copy of the head before brings into a block, two linked postings there differ already."""
+    steps, new = 8, []
+    linked = [(f"L{i}{n}", "c", None, f"r{i}", None, ["x"], f"C{n}") for i in range(steps + 1) for n in range(2)]
+    linked += [("J1", "c", None, "j", "junior", ["x"], "J1"), ("J2", "c", None, "j", "junior", ["x"], "J2")]
+    for i in range(steps):
+        new.append((f"h{i}", "c", f"f{i}", f"r{i}", None, ["x"], 2 * i))
+        new.append((f"k{i}", "c", f"f{i}", f"r{i + 1}", None, ["x"], 2 * i + 1))
+    # Several for an unknown seniority and for juniors, none for seniors but what a head of unknown seniority founds.
+    new += [("u", "c", "fu", "j", None, ["x"], 30), ("s", "c", "fs", "j", "senior", ["x"], 31), ("s2", "c", "fs", "r0", None, ["x"], 32)]
+    rounds, resolve = [], canonical._resolve
+    monkeypatch.setattr(canonical, "_resolve", lambda *a, **k: rounds.append(1) or resolve(*a, **k))
+    got = assign_canonical(spark.createDataFrame(new, NEW), spark.createDataFrame(linked, LINKED)).collect()
+    assert {r.posting_key: r.canonical_id for r in got} == one_by_one(new, linked)
+    assert {r.posting_key: r.canonical_id for r in got}["s"] == "u" and len(got) == len(new)
+    assert len(rounds) == 1
+
+
 def test_symbols_that_turn_out_to_be_one(spark):
     """Two copies bring one canonical into a block by different ways; a third way differs."""
     new = [
