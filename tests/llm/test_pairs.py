@@ -184,6 +184,54 @@ def test_keys_and_texts_of_lines_that_meet_nobody_are_not_held(spark, monkeypatc
     assert all(n <= len(lines) and "normal" not in columns for columns, n in held)
 
 
+def test_heads_and_rests_of_lines_agree_with_their_edits(spark):
+    rng = np.random.default_rng(8)
+    rows = []
+    for n in (1, 2, 5, 9, 30, 80, 200, 900):
+        for edits in (0, 1, n // 10, n // 6, n // 5, n // 3, n):
+            base = [*rng.integers(97, 100 if n < 30 else 123, n)]
+            other = list(base)
+            for _ in range(edits):
+                at = int(rng.integers(0, len(other) + 1))
+                kind = int(rng.integers(0, 3))
+                other[at : at + (kind > 0)] = [] if kind == 2 else [int(rng.integers(97, 123))]
+            rows.append(("".join(map(chr, base)), "".join(map(chr, other)) or "x"))
+    rows += [("é" * 50 + "a" * 30, "a" * 30 + "é" * 50), ("same", "same"), ("aaaa", "aaaaa"), ("abc" * 40, "abc" * 44), ("xéy" * 9, "xéy" * 4 + "z" + "xéy" * 5)]
+    pairs = spark.createDataFrame(rows, "a string, b string").select(
+        "a", "b", F.length("a").alias("size_a"), F.length("b").alias("size_b"),
+        line_dedup.line_head(F.col("a")).alias("head_a"), line_dedup.line_head(F.col("b")).alias("head_b"),
+    )
+    most = "CAST(greatest(size_a, size_b) * 20 div 100 AS INT)"
+    got = pairs.selectExpr(
+        f"levenshtein(a, b) <= {most} AS linked", f"{line_dedup.heads_allow()} AS allowed",
+        f"{line_dedup.within('a', 'b', most)} AS told",
+    ).collect()
+    assert [r.told for r in got] == [r.linked for r in got] and 10 < sum(r.linked for r in got) < len(got) - 10
+    assert all(r.allowed for r in got if r.linked) and not all(r.allowed for r in got)
+
+
+def test_a_hub_is_compared_once_and_unlike_lines_by_their_heads(spark, monkeypatch):
+    """Three unlike lines share one run: two pairs with the hub of their bucket, one without."""
+    rng = np.random.default_rng(9)
+    words = ["".join("abcdefghijklmnopqrstuvwxyz"[c] for c in rng.integers(0, 26, 8)) for _ in range(60)]
+    shared = ["extraordinarily", "incomprehensible", "misunderstandings"]
+    docs = spark.createDataFrame([(i, " ".join(words[20 * i : 20 * i + 20] + shared)) for i in range(3)], "doc_id long, text string")
+    made, whole, linked, settle = [], [], line_dedup.linked_members, common.settled
+
+    def watched(members, found, compare, *rest):
+        return linked(members, found, lambda pairs: made.append(pairs.distinct().count()) or compare(pairs), *rest)
+
+    def kept(df):
+        out = settle(df)
+        whole.extend([out.count()] if out.columns == ["a", "b"] else [])
+        return out
+
+    monkeypatch.setattr(line_dedup, "linked_members", watched)
+    monkeypatch.setattr(line_dedup, "settled", kept)
+    assert line_dedup.similar_lines(docs).where("kept").count() == 3
+    assert made == [1] and whole == [0] * 4
+
+
 def test_shared_keys_equal_a_count_by_hand(spark):
     rows = [(1, 5, 10), (2, 6, 10), (3, 7, 11), (2, 6, 12), (3, 7, 12), (1, 5, 12), (4, 9, 13), (5, 40, 12), (6, 10, 14), (7, 13, 14), (8, 8, 15), (9, 10, 15), (10, 13, 15)]
     keyed = spark.createDataFrame(rows, "cls long, size int, bucket long")
